@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import quality
+from tessella.llm import decontaminate, quality, secrets
 from tessella.llm.shared import cut
 
 
@@ -23,8 +23,24 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", *(F.col(f"__quality.{n}") for n in counts), F.col("__kept").alias("kept"), "__quality.reject_level", "__quality.stratum", F.coalesce("__level", F.lit(0)).alias("cutoff_level"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = cut(secrets.scan(_read(spark, sf_dir, "documents")).select("doc_id", "__base", "__tested"), "secrets")
+    spans = secrets.all_spans(*secrets.discovery_bin(scanned))
+    of = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k)).cast("long")
+    return scanned.select("doc_id", *(of(k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])), F.sha2(secrets.written(F.col("__base")), 256).alias("base_sha256"), secrets.written(spans).alias("spans"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    n_hit = decontaminate.hit_words(F.col("hits")).cast("long")
+    done = found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+    return done.withColumn("contaminated", F.col("n_hit") > 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op5_secret_scan": op5_secret_scan,
+    "op7_decontamination": op7_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}

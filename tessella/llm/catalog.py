@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import decontaminate, quality, secrets
-from tessella.llm.shared import cut
+from tessella.llm import decontaminate, packing, quality, secrets, simhash, tokencounts, tokenfiles
+from tessella.llm.shared import cut, new_folder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -37,10 +38,34 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumn("contaminated", F.col("n_hit") > 0)
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cut(packing.pieces(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), "pieces")
+    return packing.pack(found)
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = new_folder(spark, "token-files")
+    tokenfiles.write(_read(spark, sf_dir, "documents"), where, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfiles.positions(tokenfiles.read(spark, where))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.token_counts(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op5_secret_scan": op5_secret_scan,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_decontamination": op7_decontamination,
+    "op8_token_files": op8_token_files,
+    "op9_token_counts": op9_token_counts,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}

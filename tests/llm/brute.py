@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import re
 
+import xxhash
+
 BLANK_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -61,3 +63,30 @@ def contaminated(texts: list, items: list) -> list[tuple]:
                     names |= got
         out.append((len(w), len(hit), len(names), sha(",".join(sorted(names))), bool(hit)))
     return out
+
+
+def fingerprint(text: str | None) -> int:
+    words = BLANK_WORD.findall((text or "").translate(LOWER))
+    if not words:
+        return 0
+    k = min(3, len(words))
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + k]).encode(), 42) for i in range(len(words) - k + 1)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def linked(fps: dict[int, int]) -> dict[int, int]:
+    """doc_id -> smallest doc_id reachable over pairs with two or fewer differing bits."""
+    ids = sorted(fps)
+    least = {i: i for i in ids}
+
+    def find(i: int) -> int:
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for n, i in enumerate(ids):
+        for j in ids[n + 1 :]:
+            if (fps[i] ^ fps[j]).bit_count() <= 2:
+                a, b = find(i), find(j)
+                least[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import decontaminate, packing, quality, secrets, simhash, tokencounts, tokenfiles
+from tessella.llm import decontaminate, fixity, packing, quality, secrets, simhash, suffixes, tokencounts, tokenfiles, toolcalls
 from tessella.llm.shared import cut, new_folder
 
 
@@ -24,6 +24,66 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", *(F.col(f"__quality.{n}") for n in counts), F.col("__kept").alias("kept"), "__quality.reject_level", "__quality.stratum", F.coalesce("__level", F.lit(0)).alias("cutoff_level"))
 
 
+#: Schemas of the tools in the messages that :func:`tool_messages` makes.
+SCHEMAS = {
+    "answer": {"type": "object", "required": ["prompt", "turn"], "additionalProperties": False, "properties": {"prompt": {"type": "string", "minLength": 1}, "turn": {"type": "integer"}}},
+    "follow_up": {"type": "object", "required": ["prompt", "turn"], "additionalProperties": False, "properties": {"prompt": {"type": "string", "minLength": 1, "maxLength": 200}, "turn": {"type": "integer"}}},
+}
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Tool-call messages from plain turns: a user turn calls, the assistant's next turn answers.
+
+    Every second call depends on the one before it; in one conversation of ten the first call
+    depends on the second instead, so that order has to be found.
+    """
+    name_of = lambda turn: F.concat(F.lit("call_"), turn.cast("string"))
+    turn, tangled = F.col("turn").cast("long"), F.col("conv_id") % 10 == 3
+    later = turn % 4 == 2
+    depends = F.when(later & ~tangled, F.array(name_of(turn - 2))).when((turn == 0) & tangled, F.array(name_of(turn + 2))).otherwise(F.array().cast("array<string>"))
+    call = F.struct(name_of(turn).alias("id"), F.when(later, "follow_up").otherwise("answer").alias("name"), F.struct(F.col("text").alias("prompt"), turn.alias("turn")).alias("arguments"), depends.alias("depends_on"))
+    result = F.struct(name_of(turn - 1).alias("tool_call_id"), F.col("text").alias("content"))
+    is_call, is_result = F.col("role") == "user", F.col("role") == "assistant"
+    text = F.when(is_call, F.to_json(F.struct(F.array(call).alias("tool_calls")))).when(is_result, F.to_json(result)).otherwise(F.col("text"))
+    role = F.when(is_call, "assistant").when(is_result, "tool").otherwise(F.col("role"))
+    return conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))
+
+
+def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolcalls.link(tool_messages(_read(spark, sf_dir, "conversations")), SCHEMAS)
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.passages(_read(spark, sf_dir, "documents"))
+
+
+#: Pages in a WARC file of :func:`op4_fixity`.
+PAGES_IN_FILE = 100
+
+
+def replicas(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records of ``pages`` in two stores; the second has rotten bytes and lacks some files' ends.
+
+    One page of 97 has its second character overwritten; every fifth file lacks its last page.
+    """
+    n = F.col("page_id")
+    file = F.concat(F.lit("warc-"), F.floor(n / PAGES_IN_FILE).cast("string"))
+    rotten = (n % 97 == 13) & (F.length("html") >= 2)
+    html = F.when(rotten, F.concat(F.substring("html", 1, 1), F.lit("~"), F.expr("substring(html, 3)"))).otherwise(F.col("html"))
+    lost = (n % PAGES_IN_FILE == PAGES_IN_FILE - 1) & (F.floor(n / PAGES_IN_FILE) % 5 == 1)
+    ours = pages.select(file.alias("file"), n.alias("id"), fixity.record(F.col("url"), F.col("html")).alias("record"))
+    theirs = pages.where(~F.coalesce(lost, F.lit(False))).select(file.alias("file"), n.alias("id"), fixity.record(F.col("url"), html).alias("record"))
+    return ours, theirs
+
+
+def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ours, theirs = (cut(fixity.laid_out(x), "leaves") for x in replicas(_read(spark, sf_dir, "pages")))
+    found = fixity.audit(cut(fixity.tree(ours), "tree"), cut(fixity.tree(theirs), "tree"))
+    wrong = found.select(F.col("file").alias("bad_file"), F.col("offset").alias("bad_offset"), "status")
+    done = ours.join(wrong, F.col("file").eqNullSafe(F.col("bad_file")) & (F.col("offset") == F.col("bad_offset")), "left")
+    return done.select(F.col("id").alias("page_id"), "file", "offset", "length", "digest", F.coalesce("status", F.lit("sound")).alias("status"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = cut(secrets.scan(_read(spark, sf_dir, "documents")).select("doc_id", "__base", "__tested"), "secrets")
     spans = secrets.all_spans(*secrets.discovery_bin(scanned))
@@ -60,6 +120,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_tool_calls": op2_tool_calls,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_fixity": op4_fixity,
     "op5_secret_scan": op5_secret_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_decontamination": op7_decontamination,
@@ -68,7 +131,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_fixity": """
+        WITH p AS (
+            SELECT page_id, url, html, 'warc-' || CAST(page_id // 100 AS VARCHAR) AS file,
+                   coalesce(page_id % 97 = 13 AND length(html) >= 2 AND html[2] <> '~', false) AS rotten,
+                   page_id % 100 = 99 AND (page_id // 100) % 5 = 1 AS lost
+            FROM pages
+        ), r AS (
+            SELECT page_id, file, rotten, lost,
+                   'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+                   || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+                   || 'Content-Type: text/html' || chr(13) || chr(10)
+                   || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR)
+                   || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
+                   || chr(13) || chr(10) || chr(13) || chr(10) AS record
+            FROM p
+        )
+        SELECT page_id, file,
+               CAST(coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset,
+               CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS digest,
+               CASE WHEN lost THEN 'missing' WHEN rotten THEN 'corrupt' ELSE 'sound' END AS status
+        FROM r
+    """,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -135,9 +135,9 @@ def _candidates(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_words, hits, items``.
+    """One row per document: ``doc_id, key, n_words, hits, items``.
 
-    ``hits`` are the distinct ``(start, length)`` of occurring windows in words, sorted; ``items``
+    ``key`` is the text's hash, ``hits`` are the distinct ``(start, length)`` of occurring windows in words, sorted; ``items``
     the sorted ids, as strings, of the items they belong to.
     """
     wanted = prefixes(docs, items)
@@ -155,10 +155,16 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     spans = F.array_sort(F.array_distinct(F.transform("found", lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")))))
     named = F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda x: x["items"]))))
-    one = per.select("doc_id", F.col("n_words").cast("long").alias("n_words"), "copies", spans.alias("hits"), named.alias("items"))
+    one = per.select("doc_id", "key", F.col("n_words").cast("long").alias("n_words"), "copies", spans.alias("hits"), named.alias("items"))
     return one.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
 
 
+def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without a hit."""
+    hit = contamination(docs, items).where(F.size("hits") > 0).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
+    return docs.join(cut(hit, "contaminated"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
+
+
 def hit_words(hits: Column) -> Column:
     """Words inside any of the sorted ``(start, length)`` spans."""
     start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))

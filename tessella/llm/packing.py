@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.functions.workers import arrow_map
 from tessella.llm import fasttokens
 from tessella.llm.shared import cut
 
@@ -63,7 +64,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2) ->
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "piece", "start", "length", "ids_crc32", "part", "local_rank"])
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(made, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, local_rank long")
+    return arrow_map(rows, made, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, local_rank long")
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:

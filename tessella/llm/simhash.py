@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.functions.workers import arrow_map
 from tessella.llm.graph import components
 from tessella.llm.shared import cut
 
@@ -68,7 +69,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             fps = np.array([fingerprint(x.as_py()) for x in batch.column("text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(made, f"doc_id {kind}, fp long")
+    return arrow_map(docs.select("doc_id", "text"), made, f"doc_id {kind}, fp long")
 
 
 def _keys() -> Column:
@@ -139,7 +140,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(distinct: DataFrame) -> DataFrame:
     """Links ``u, v`` among the distinct fingerprints ``fp``, enough for the exact components."""
     keyed = distinct.select("fp", F.explode(_keys()).alias("key"))
-    tried = cut(keyed.repartitionByRange("key", "fp").sortWithinPartitions("key", "fp").mapInArrow(_compare, "u long, v long"), "links")
+    tried = cut(arrow_map(keyed.repartitionByRange("key", "fp").sortWithinPartitions("key", "fp"), _compare, "u long, v long"), "links")
     rest = tried.where("v is null").select("u").distinct()
     variants = F.array(F.col("u"), *(F.col("u").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for b in range(64)))
     # 65 members of a word at most.

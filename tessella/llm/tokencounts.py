@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.functions.workers import arrow_map
 from tessella.llm import fasttokens
 
 CHUNK, OVERLAP, GUARD = 16_384, 512, 64
@@ -82,5 +83,5 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, chunk: int = CHU
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    done = rows.mapInArrow(counted, f"doc_id {kind}, n_bytes long, n_tokens long, n_widened long")
+    done = arrow_map(rows, counted, f"doc_id {kind}, n_bytes long, n_tokens long, n_widened long")
     return done.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "n_widened")

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessella.functions.workers import arrow_map
 from tessella.llm import fasttokens
 
 SCHEMA = "part int, start_in_part long, n_tokens long, ids array<int>"
@@ -66,7 +67,7 @@ def write(docs: DataFrame, where: str, path: str, end_id: int = 2, stripe_bytes:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": str(row_index), "orc.stripe.size": str(stripe_bytes), "compression": "zstd"}
-    ordered.mapInArrow(encoded, f"doc_id {kind}, {SCHEMA}").write.options(**options).orc(where)
+    arrow_map(ordered, encoded, f"doc_id {kind}, {SCHEMA}").write.options(**options).orc(where)
 
 
 def read(spark: SparkSession, where: str, doc_ids: list | None = None) -> DataFrame:
@@ -111,5 +112,5 @@ def positions(rows: DataFrame) -> DataFrame:
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = totals.select(F.col("part").alias("__part"), before.alias("base"))
     bases = F.broadcast(bases) if len(rows.inputFiles()) <= MOST_PARTS else bases
-    found = rows.select("doc_id", "part", "start_in_part", "ids").mapInArrow(summed, f"doc_id {kind}, part int, start_in_part long, n_tokens long, ids_crc32 long")
+    found = arrow_map(rows.select("doc_id", "part", "start_in_part", "ids"), summed, f"doc_id {kind}, part int, start_in_part long, n_tokens long, ids_crc32 long")
     return found.join(bases, F.col("part") == F.col("__part")).select("doc_id", (F.col("base") + F.col("start_in_part")).alias("start"), "n_tokens", "ids_crc32")

@@ -32,9 +32,9 @@ def covering_arc(intervals: DataFrame, keys: list[str], low: str = "lo", high: s
         F.when(last, F.min("lo").over(whole)).otherwise(F.lead("lo").over(by_run)).alias("west"),
         F.when(last, F.max("hi").over(whole)).otherwise(F.col("hi")).alias("east"),
     )
-    widest = gaps.groupBy(*keys).agg(F.max("full").alias("full"), F.max_by(F.struct("gap", "west", "east"), F.struct(F.col("gap"), -F.col("run"))).alias("g"))
-    world = F.col("full") | (F.col("g.gap") <= 0)
-    return widest.select(*keys, F.when(world, F.lit(-180.0)).otherwise(normalise(F.col("g.west"))).alias("west"), F.when(world, F.lit(180.0)).otherwise(normalise(F.col("g.east"))).alias("east"))
+    widest = gaps.groupBy(*keys).agg(F.max("full").alias("full"), F.max_by(F.struct("gap", "west", "east"), F.struct(F.col("gap"), -F.col("run"))).alias("__widest"))
+    world = F.col("full") | (F.col("__widest.gap") <= 0)
+    return widest.select(*keys, F.when(world, F.lit(-180.0)).otherwise(normalise(F.col("__widest.west"))).alias("west"), F.when(world, F.lit(180.0)).otherwise(normalise(F.col("__widest.east"))).alias("east"))
 
 
 def data_bounds(sheets: DataFrame, keys: list[str]) -> DataFrame:

@@ -643,7 +643,7 @@ def collar_onset(spark, sf_dir):
 
 @query("""WITH p AS (SELECT s_nationkey AS side, CAST(s_suppkey AS DOUBLE) AS pos, CAST((s_suppkey * 7) % 40 + CASE WHEN s_suppkey % 6 = 0 THEN 300 ELSE 0 END AS DOUBLE) AS depth FROM supplier),
     m AS (SELECT side, median(depth) AS m FROM p GROUP BY side), d AS (SELECT p.*, abs(depth - m) AS d FROM p JOIN m USING (side)), k AS (SELECT side, median(d) AS mad FROM d GROUP BY side)
-    SELECT side, round(regr_slope(depth, pos), 6) + 0 AS slope, round(regr_intercept(depth, pos), 6) + 0 AS intercept, count(*) AS kept FROM d JOIN k USING (side) WHERE d <= greatest(60, 3 * mad) GROUP BY side""")
+    SELECT side, CASE WHEN count(*) > 1 THEN round(regr_slope(depth, pos), 6) + 0 END AS slope, CASE WHEN count(*) > 1 THEN round(regr_intercept(depth, pos), 6) + 0 END AS intercept, count(*) AS kept FROM d JOIN k USING (side) WHERE d <= greatest(60, 3 * mad) GROUP BY side""")
 def robust_fit(spark, sf_dir):
     s = views.table(spark, sf_dir, "supplier").select(col("s_nationkey").alias("side"), col("s_suppkey").cast("double").alias("pos"), ((col("s_suppkey") * 7) % 40 + F.when(col("s_suppkey") % 6 == 0, 300).otherwise(0)).cast("double").alias("depth"))
     return detect.trimmed_line(s, ["side"]).select("side", (F.round("slope", 6) + 0.0).alias("slope"), (F.round("intercept", 6) + 0.0).alias("intercept"), "kept")
@@ -773,13 +773,14 @@ def packed_tiles(spark, sf_dir):
     return overview.halve_packed(done, 8).select("z", "x", "y", F.sha2("rgba", 256).alias("sha256"))
 
 
-@query()
+@query(planned_sql("SELECT z, x, y, round(pc, 6) AS pc, round(pa, 6) AS pa, n FROM (SELECT z, x, y, sum(t * a * c) AS pc, sum(t * a) AS pa, CAST(count(*) AS INTEGER) AS n FROM (SELECT *, coalesce(product(1 - a) OVER (PARTITION BY x, y ORDER BY ord DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS t FROM plan) GROUP BY z, x, y)", z=4))
 def seam_stateful(spark, sf_dir):
     plan = _planned(spark, sf_dir, 4)
-    return seams.assembled(spark, plan.select("z", "x", "y", "ord", "a", "c"))
+    done = seams.assembled(spark, plan.select("z", "x", "y", "ord", "a", "c"))
+    return done.withColumn("pc", F.round("pc", 6)).withColumn("pa", F.round("pa", 6))
 
 
-@query()
+@query(requests_sql(f"SELECT z, {SUMS} FROM rows GROUP BY z"))
 def request_stream(spark, sf_dir):
     return traffic.counted(spark, views.requests(spark, sf_dir), "/tiles/")
 

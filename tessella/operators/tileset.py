@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.geo import arc_centre
-from tessella.operators.bounds import mercator_bounds
+from tessella.operators.bounds import covering_arc, mercator_bounds
 
 
 def per_zoom(tiles: DataFrame) -> DataFrame:
@@ -27,6 +27,15 @@ def extent(by_zoom: DataFrame, detail_zoom: int | None = None) -> DataFrame:
     return mercator_bounds(top)
 
 
+def covered(tiles: DataFrame, by_zoom: DataFrame, detail_zoom: int | None = None) -> DataFrame:
+    """Bounds in degrees of the tiles of the highest full zoom; they may cross the antimeridian."""
+    top = extent(by_zoom, detail_zoom)
+    columns = tiles.join(F.broadcast(top.select("z")), "z", "left_semi").select("z", "x").distinct()  # one row
+    step = 360 / F.pow(F.lit(2.0), F.col("z"))
+    arc = covering_arc(columns.select("z", (F.col("x") * step - 180).alias("lo"), ((F.col("x") + 1) * step - 180).alias("hi")), ["z"])
+    return top.drop("west", "east").join(arc, "z").select("west", "south", "east", "north")
+
+
 def metadata(total: DataFrame, bounds: DataFrame, data: DataFrame, *, name: str, source: str, tile_format: str, scheme: str, crs: str, native_zoom: int, sources: list[str] | None = None) -> DataFrame:
     """The metadata document as one row with column ``metadata`` (JSON); inputs have one row each."""
     r = lambda c: F.round(F.col(c), 8)

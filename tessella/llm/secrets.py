@@ -46,7 +46,7 @@ ENCODINGS = (
     ("base62", "[0-9A-Za-z]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     ("base64", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 )
-EFFECT, FDR = 0.5, 0.05
+EFFECT, FDR = 0.8, 0.05
 BINS = 1024
 
 SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -90,3 +91,15 @@ def linked(fps: dict[int, int]) -> dict[int, int]:
                 a, b = find(i), find(j)
                 least[max(a, b)] = min(a, b)
     return {i: find(i) for i in ids}
+
+
+def best_fit_decreasing(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that best fit decreasing needs, piece by piece."""
+    gaps: list[int] = []
+    used = 0
+    for n in sorted((n for n, c in counts.items() for _ in range(c)), reverse=True):
+        at = bisect.bisect_left(gaps, n)
+        gap = gaps.pop(at) if at < len(gaps) else capacity
+        used += gap == capacity
+        bisect.insort(gaps, gap - n)
+    return used

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import decontaminate, fixity, packing, quality, secrets, simhash, suffixes, tokencounts, tokenfiles, toolcalls
+from tessella.llm import decontaminate, fixity, oracle, packing, quality, secrets, simhash, suffixes, tokencounts, tokenfiles, toolcalls
 from tessella.llm.shared import cut, new_folder
 
 
@@ -132,6 +132,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": oracle.OP1,
+    "op2_tool_calls": oracle.OP2,
+    "op3_suffix_dedup": oracle.OP3,
+    "op7_decontamination": oracle.OP7,
     "op4_fixity": """
         WITH p AS (
             SELECT page_id, url, html, 'warc-' || CAST(page_id // 100 AS VARCHAR) AS file,

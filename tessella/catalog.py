@@ -13,7 +13,7 @@ from tessella.operators import account, bounds, composite, detect, discover, ove
 from tessella.plans import area, tiles, views
 from tessella.plans import catalog as charts
 from tessella.plans.views import with_views
-from tessella.sources import png
+from tessella.sources import archives, png
 from tessella.streaming import seams, traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -743,6 +743,63 @@ def connected_menu(spark, sf_dir):
     return discover.menu(local, views.table(spark, sf_dir, "customer").select(col("c_nationkey").alias("k")), "k")
 
 
+# -- smaller rules -----------------------------------------------------------------
+
+
+@query(with_views("SELECT event_id, printf('oklch(%.3f 0.25 %.1f / 0.75)', floor((0.55 + 0.08 * s) * 1000 + 0.5) / 1000, floor((264 - 235 * s) * 10 + 0.5) / 10) AS colour FROM (SELECT event_id, least(greatest(z / CAST(16 AS DOUBLE), 0), 1) AS s FROM points)", "points"))
+def zoom_colours(spark, sf_dir):
+    return views.points(spark, sf_dir).select("event_id", text.zoom_colour(col("z"), lit(16), 0.75).alias("colour"))
+
+
+@query(with_views("SELECT ord, CASE WHEN w > e THEN -180 + 1e-5 ELSE w END AS west, CASE WHEN w > e THEN 180 - 1e-5 ELSE e END AS east FROM (SELECT ord, CASE WHEN west + ord % 2 * 180 > 180 THEN west + ord % 2 * 180 - 360 ELSE west + ord % 2 * 180 END AS w, CASE WHEN east + ord % 2 * 180 > 180 THEN east + ord % 2 * 180 - 360 ELSE east + ord % 2 * 180 END AS e FROM sheets)", "sheets"))
+def imagery_extent(spark, sf_dir):
+    shift = col("ord") % 2 * 180
+    e = bounds.imagery_extent(geo.normalise(col("west") + shift), col("south"), geo.normalise(col("east") + shift), col("north"))
+    return views.sheets(spark, sf_dir).select("ord", e["west"].alias("west"), e["east"].alias("east"))
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'http://h/' || s_suppkey || '/{z}/{x}/{y}.png' ELSE 'http://h/' || s_suppkey || '/{z}/{x}/{y}.webp' END AS url FROM supplier")
+def source_templates(spark, sf_dir):
+    k = col("s_suppkey").cast("string")
+    spec = F.when(col("s_suppkey") % 3 == 0, F.concat(lit("http://h/"), k, lit("/{z}/{x}/{y}.png"))).when(col("s_suppkey") % 3 == 1, F.concat(lit("http://h/"), k, lit("/"))).otherwise(F.concat(lit("http://h/"), k))
+    return views.table(spark, sf_dir, "supplier").select("s_suppkey", discover.source_template(spec, lit("{z}/{x}/{y}.webp")).alias("url"))
+
+
+@query(with_views("SELECT vec_id, round(greatest(dx, dy), 6) AS scale FROM (SELECT vec_id, median(abs(r - c)) FILTER (WHERE r IS NOT NULL) AS dx, median(abs(b - c)) FILTER (WHERE b IS NOT NULL) AS dy FROM (SELECT vec_id, c, lead(c) OVER (PARTITION BY vec_id, py ORDER BY px) AS r, lead(c) OVER (PARTITION BY vec_id, px ORDER BY py) AS b FROM chips) GROUP BY vec_id)", "chips"))
+def footprint_scale(spark, sf_dir):
+    return resample.footprint_scale(views.chips(spark, sf_dir), ["vec_id"], "c").withColumn("scale", F.round("scale", 6))
+
+
+@query("SELECT user_id, event_id, done, round(done / CAST(elapsed AS DOUBLE), 6) AS rate, round((total - done) * elapsed / CAST(done AS DOUBLE), 6) AS eta FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS done, event_id + 1 AS elapsed, count(*) OVER (PARTITION BY user_id) AS total FROM events)")
+def progress_rate(spark, sf_dir):
+    e = views.table(spark, sf_dir, "events").select("user_id", "event_id", (col("event_id") + 1).alias("elapsed"))
+    done = account.progress(e, ["user_id"], "event_id", "elapsed")
+    return done.select("user_id", "event_id", "done", F.round("rate", 6).alias("rate"), F.round("eta", 6).alias("eta"))
+
+
+@query(with_views(f", {GRAY}, wide AS (SELECT sheet // 10 AS sheet, (sheet % 10) * 8 + col AS col, row, CASE WHEN (sheet % 10) IN (1, 7) AND col < 6 OR row IN (1, 2) THEN 0 ELSE 200 END AS v FROM gray), f AS (SELECT sheet, col, avg(CASE WHEN v < 110 THEN 1 ELSE 0 END) AS fraction FROM wide WHERE row >= 2 AND row < 5 GROUP BY sheet, col), r AS (SELECT sheet, min(col) AS first, max(col) AS last FROM (SELECT sheet, col, col - row_number() OVER (PARTITION BY sheet ORDER BY col) AS run FROM f WHERE fraction >= 0.9) GROUP BY sheet, run HAVING count(*) >= 6) SELECT sheet, min(first) AS x0, max(last) + 1 AS x1 FROM r GROUP BY sheet HAVING count(*) = 2", "chips").replace(") , gray", "), gray", 1))
+def frame_rules(spark, sf_dir):
+    g = _gray(spark, sf_dir)
+    at = col("sheet") % 10
+    v = F.when((at.isin(1, 7) & (col("col") < 6)) | col("row").isin(1, 2), 0).otherwise(200)
+    wide = g.select(F.floor(col("sheet") / 10).cast("long").alias("sheet"), (at * 8 + col("col")).alias("col"), "row", v.alias("r"), v.alias("g"), v.alias("b"), "width")
+    panel = detect.widest_panel(detect.thick_runs(detect.dark_fraction(wide, "col", "row", "width"), ["sheet"], "col"), ["sheet"])
+    return panel.select("sheet", col("a_first").alias("x0"), (col("b_last") + 1).alias("x1"))
+
+
+@query("SELECT '{' || string_agg('\"' || s_name || '\":' || s_nationkey, ',' ORDER BY s_name) || '}' AS manifest FROM supplier WHERE s_suppkey < 10")
+def sorted_manifest(spark, sf_dir):
+    s = views.table(spark, sf_dir, "supplier").where("s_suppkey < 10")
+    return archives.manifest_text(s, "s_name", "s_nationkey")
+
+
+@query("SELECT p_partkey, regexp_full_match(zip, 'ENR_L\\d\\d\\.zip', 'i') AND false OR regexp_full_match(zip, 'DELUS\\d{1,2}\\.zip', 'i') AS low, regexp_full_match(zip, '.+_TAC\\.zip', 'i') AS tac FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'delus' || (p_partkey % 200) || '.zip' WHEN 1 THEN 'Chart_TAC.ZIP' ELSE 'ENR_L0' || (p_partkey % 10) || '.zip' END AS zip FROM part)")
+def fetched_archives(spark, sf_dir):
+    k = col("p_partkey")
+    name = F.when(k % 3 == 0, F.concat(lit("delus"), (k % 200).cast("string"), lit(".zip"))).when(k % 3 == 1, "Chart_TAC.ZIP").otherwise(F.concat(lit("ENR_L0"), (k % 10).cast("string"), lit(".zip")))
+    return views.table(spark, sf_dir, "part").select("p_partkey", charts.fetched(name, charts.one("ifr-low")).alias("low"), charts.fetched(name, charts.one("tac")).alias("tac"))
+
+
 # -- kernels and streams, without a SQL form ----------------------------------------
 
 

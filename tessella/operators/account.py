@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.text import request_class, tile_of_url
@@ -37,3 +37,11 @@ def last_tile(rows: DataFrame, keys: list[str], time: str = "ts", tie: str = "ev
 def visible(rows: DataFrame) -> DataFrame:
     """Per level: distinct tiles and their bounding box."""
     return rows.groupBy("z").agg(F.count_distinct("x", "y").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+
+
+def progress(steps: DataFrame, keys: list[str], order: str, elapsed: str) -> DataFrame:
+    """Per group and step: steps ``done``, ``rate`` so far, and ``eta`` for the rest at that rate."""
+    within = Window.partitionBy(*keys)
+    done = steps.withColumn("done", F.row_number().over(within.orderBy(order)).cast("long")).withColumn("__total", F.count("*").over(within))
+    rest = (F.col("__total") - F.col("done")) * F.col(elapsed) / F.col("done")
+    return done.withColumn("rate", F.col("done") / F.col(elapsed)).withColumn("eta", rest).drop("__total")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.workers import ship
@@ -64,6 +64,13 @@ def ringing(upsampled: DataFrame, source: DataFrame, keys: list[str], factor: in
     return measured.join(sharp, keys).select(*keys, "ringing", "worst", ((F.col("gx") + F.col("gy")) / 2).alias("sharpness"))
 
 
+def footprint_scale(grid: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Per group the larger of the median steps of ``value`` to the right and down, over px and py."""
+    step = lambda line, along: F.abs(F.lead(value).over(Window.partitionBy(*keys, line).orderBy(along)) - F.col(value))
+    steps = grid.select(*keys, step("py", "px").alias("__dx"), step("px", "py").alias("__dy"))
+    return steps.groupBy(*keys).agg(F.greatest(F.median("__dx"), F.median("__dy")).alias("scale"))
+
+
 def prefilter(image: np.ndarray, scale: float) -> np.ndarray:
     """Separable Gaussian over (height, width, bands) for a reduction by ``scale``; none up to 1."""
     if scale <= 1:

@@ -41,6 +41,11 @@ def fetches_tifs(pdf_scale: Column) -> Column:
     return pdf_scale == 0
 
 
+def fetched(name: Column, row: dict) -> Column:
+    """Whether an archive of this name is fetched: GeoTIFFs, or PDFs where a series renders those."""
+    return wants(name, row, "pdf_zip") if row["pdf_scale"] else wants(name, row, "zip")
+
+
 def stages(pdf_scale: Column, upsample_scale: Column, heal: Column) -> Column:
     """The stages of a series in order; each reads what the one before has written."""
     listed = F.array(F.when(pdf_scale > 0, "render"), F.when(upsample_scale > 0, "upsample"), F.when(heal, "heal"))

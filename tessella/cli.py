@@ -25,7 +25,7 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--resume", action="store_true")
     build.add_argument("--overwrite", action="store_true")
     build.add_argument("--title")
-    copy = commands.add_parser("geotransfer", help="give an image another file's georeference")
+    copy = commands.add_parser("georef", help="give an image another file's georeference")
     copy.add_argument("reference")
     copy.add_argument("image")
     copy.add_argument("output")
@@ -40,7 +40,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     try:
-        if args.command == "geotransfer":
+        if args.command == "georef":
             from tessella.sources.tiff import copy_georeference
 
             print(copy_georeference(args.reference, args.image, args.output, overwrite=args.overwrite, strict_size=not args.any_size, copy_nodata=args.copy_nodata))

@@ -47,8 +47,8 @@ def test_tiff_round_trip_and_georeference(tmp_path):
         tiff.copy_georeference(plain, reference, str(tmp_path / "x.tif"))
     with pytest.raises(ValueError, match="sizes differ"):
         tiff.copy_georeference(reference, save(tmp_path / "s.tif", image[:10]), str(tmp_path / "y.tif"))
-    assert cli.main(["geotransfer", reference, plain, out]) == 1
-    assert cli.main(["geotransfer", reference, plain, out, "--overwrite"]) == 0
+    assert cli.main(["georef", reference, plain, out]) == 1
+    assert cli.main(["georef", reference, plain, out, "--overwrite"]) == 0
 
 
 def test_mosaic_paints_masks_and_averages(spark, tmp_path):

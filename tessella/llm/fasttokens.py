@@ -1,10 +1,11 @@
 """Token ids of whole texts, equal to the tokenizers library's, with a cache of pieces.
 
 Byte-level BPE never merges across the pieces that the pre-tokenizer cuts, so a text's ids are
-those of its pieces in order.  Pieces are cut here by the tokenizer file's own pattern and their
-ids come from the library once and then from a bounded cache.  That holds for texts of characters
-whose Unicode classes have long been settled (:data:`SETTLED`); texts with other characters, with
-strings of special tokens, or tokenizer files of other kinds go to the library whole.
+those of its pieces in order.  Pieces are cut here by the tokenizer file's own pattern, with its
+classes spelled out for :mod:`re`, and their ids come from the library's BPE model once and then
+from a bounded cache.  That holds for texts of characters whose Unicode classes have long been
+settled (:data:`SETTLED`); texts with other characters, with strings of special tokens, or
+tokenizer files of other kinds go to the library whole.
 """
 
 from __future__ import annotations
@@ -14,17 +15,33 @@ import os
 import re
 from array import array
 
-import regex
 from tokenizers import Tokenizer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # each task has one core
 
 #: Characters whose class, case and composition agree in all Unicode versions in use.
 SETTLED = re.compile("[\t\n\r -~¡-¬®-ÿĀ-įĲ-ň‐-‧€А-яぁ-ゖァ-ヺ一-龥]*")
+#: What the patterns' classes are among those characters.
+CLASSES = {r"\p{L}": "A-Za-zªµºÀ-ÖØ-öø-ÿĀ-įĲ-ňА-яぁ-ゖァ-ヺ一-龥", r"\p{N}": "0-9²³¹¼-¾", r"\s": r"\t\n\r "}
 #: The byte-level pattern that files without one of their own use.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces kept at most, and the longest piece that is kept.
-MOST_PIECES, LONGEST_PIECE = 800_000, 64
+MOST_PIECES, LONGEST_PIECE = 500_000, 64
+
+
+def _spelled(pattern: str) -> re.Pattern:
+    """The pattern with its classes spelled out, inside brackets and outside."""
+    alone = re.sub(r"(\[[^\]]*\])|(\\p\{[LN]\}|\\s|\\S)", lambda m: m[1] or {r"\S": "[^" + CLASSES[r"\s"] + "]"}.get(m[2]) or f"[{CLASSES[m[2]]}]", pattern)
+    for name, inside in CLASSES.items():
+        alone = alone.replace(name, inside)
+    return re.compile(alone)
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else one from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b if b in prints else next(spare)) for b in range(256)]
 
 
 def _pattern(spec: dict) -> tuple[str, bool] | None:
@@ -50,8 +67,10 @@ class PieceTokenizer:
             spec = json.load(f)
         found = _pattern(spec)
         self.special = tuple(x["content"] for x in spec.get("added_tokens", []))
-        self.cut = regex.compile(found[0]) if found else None
+        self.cut = _spelled(found[0]) if found else None
         self.lower = bool(found and found[1])
+        self.letters = _byte_letters()
+        self.model = self.library.model
         self.cache: dict[str, bytes] = {}
 
     def settled(self, text: str) -> bool:
@@ -60,6 +79,11 @@ class PieceTokenizer:
     def _encode(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece, by the library's model alone."""
+        plain = piece if piece.isascii() and piece.isalnum() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
+
     def pieces_ids(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece as little-endian unsigned 32-bit integers."""
         cache = self.cache
@@ -69,9 +93,7 @@ class PieceTokenizer:
             pass
         if len(cache) > MOST_PIECES:
             cache.clear()
-        missing = [p for p in set(pieces) if p not in cache]
-        encoded = self.library.encode_batch_fast(missing, add_special_tokens=False)
-        own = {p: array("I", e.ids).tobytes() for p, e in zip(missing, encoded, strict=True)}
+        own = {p: self._piece(p) for p in set(pieces) if p not in cache}
         cache.update((p, b) for p, b in own.items() if len(p) <= LONGEST_PIECE)
         return [own[p] if p in own else cache[p] for p in pieces]
 

@@ -27,8 +27,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the folders made so far; DataFrames that read them can't be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    while _made:
+        folder = path(_made.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:

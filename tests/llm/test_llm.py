@@ -432,3 +432,16 @@ def test_every_operator_is_registered():
     names = entry.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(catalog.oracle_sql()) <= set(names)
+
+
+def test_folders_are_released(spark):
+    from tessella.llm import shared
+
+    rows = cut(spark.range(3), "t")
+    where = rows.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(where)
+    kept = [f for f in shared._made]
+    shared._made[:] = kept[-1:]
+    shared.release(spark)
+    assert not os.path.exists(where) and shared._made == []
+    shared._made[:] = kept[:-1]

@@ -43,14 +43,14 @@ def release(spark: SparkSession) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+def cut(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     This cuts the lineage: later steps survive lost executors without a recomputation, and
     several readers share one computation.
     """
     where = new_folder(df.sparkSession, label)
-    df.write.parquet(where)
+    df.write.parquet(where, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 

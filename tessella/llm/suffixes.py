@@ -6,16 +6,18 @@ a window of ``SPREAD`` neighbouring ones.  Equal passages choose equal places, s
 ``MIN_WORDS`` words, shared by two texts, has a retained suffix in its first ``SPREAD`` words in
 both, and at least ``KEY_WORDS`` words of the passage follow there.
 
-1. Retained suffixes are reduced to a hash of their first ``KEY_WORDS`` words; hashes that only one
-   text has go.  Equal texts count as one text (by 64-bit hash) and are handled once.
-2. The other suffixes are sorted by (hash, words to the right, words to the left, read backwards)
-   over the cluster, so that no frequent passage meets in one task.  Neighbours of different
-   texts are compared, and the match is extended right and left by words.  Each side reaches
-   ``MIN_WORDS`` words, which overlaps with the next retained suffix; so the union of matches of
-   ``MIN_WORDS`` or more words covers a passage of any length.
-3. A neighbour on the right may differ on the left from a third suffix that would match.  Hashes
-   of suffixes left unmatched, and those at a partition's edge, are therefore decided exactly: all
-   windows of ``MIN_WORDS`` words around them are grouped by MD5.
+1. Retained suffixes are sorted over the cluster by a hash of their first ``KEY_WORDS`` words; those
+   whose hash only one text has go.  Equal texts count as one text (by 64-bit hash) and are
+   handled once.
+2. The others are sorted by (hash, words to the right, words to the left, read backwards), so that
+   no frequent passage meets in one task.  Neighbours of different texts are compared, and the
+   match is extended right by up to ``MIN_WORDS`` and left by up to ``SPREAD`` words, which overlaps
+   with the next retained suffix; so the union of matches of ``MIN_WORDS`` or more words covers a
+   passage of any length.  Suffixes at a partition's edges are compared with those across in one
+   more step, which has the suffixes of two texts for each partition.
+3. A neighbour on the right may differ on the left from a third suffix that would match.  Suffixes
+   left unmatched that might match so are decided exactly: the windows of ``MIN_WORDS`` words
+   around all suffixes with their hash are compared by MD5.
 
 A text that is itself held by several documents is a passage as a whole if it has MIN_WORDS words.
 
@@ -26,6 +28,7 @@ looked at.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +40,10 @@ from pyspark.sql import functions as F
 from tessella.functions.workers import arrow_map
 from tessella.llm.shared import blank_words, cut
 
-MIN_WORDS, GRAM, SPREAD = 50, 8, 16
+MIN_WORDS, GRAM, SPREAD = 50, 8, 30
 KEY_WORDS = MIN_WORDS - SPREAD
+#: Most texts whose ids are broadcast to leave out documents without a repeated suffix.
+MOST_TEXTS = 1_000_000
 #: Words whose hashes a worker keeps.
 MOST_WORDS = 1_000_000
 _ODD = 0x9E3779B97F4A7C15
@@ -99,6 +104,50 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k for _, k in found] or none)), pa.array(texts), pa.array(np.concatenate([p for p, _ in found] or none).astype(np.int32))], ["key", "text_id", "place"])
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by ``key, text_id, place``, those of keys that several texts have.
+
+    The partition's first and last key may go on in another one, so their rows stay in any case.
+    Held are the rows of one key while it has a single text, each place once.
+    """
+    held = np.empty((0, 3), np.int64)
+    open_key, first = None, True
+
+    def made(rows: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32))], ["key", "text_id", "place"])
+
+    for batch in batches:
+        rows = np.stack([batch.column(n).to_numpy().astype(np.int64) for n in ("key", "text_id", "place")], axis=1)
+        if not len(rows):
+            continue
+        if open_key is not None:
+            same = int(np.searchsorted(rows[:, 0], open_key, side="right"))
+            if same:
+                yield made(rows[:same])
+            rows = rows[same:]
+            if not len(rows):
+                continue
+            open_key = None
+        rows = np.concatenate([held, rows])
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(rows[:, 0])) + 1])
+        ends = np.append(starts[1:], len(rows))
+        several = rows[starts, 1] != rows[ends - 1, 1]
+        several[0] |= first
+        first = first and len(starts) == 1
+        done = np.repeat(several[:-1], (ends - starts)[:-1])
+        closed = rows[: starts[-1]][done]
+        held = rows[starts[-1] :]
+        if len(closed):
+            yield made(closed)
+        if several[-1]:
+            yield made(held)
+            open_key, held, first = int(held[0, 0]), held[:0], False
+        else:
+            held = np.unique(held, axis=0)
+    if len(held):
+        yield made(held)
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each kept suffix: the words to its right, and those to its left read backwards."""
     for batch in batches:
@@ -107,7 +156,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = text.encode().split()
             for x in kept:
                 p = x["place"]
-                rows.append((x["key"], b" ".join(words[p : p + MIN_WORDS]), b" ".join(words[max(0, p - MIN_WORDS) : p][::-1]), text_id, p))
+                rows.append((x["key"], b" ".join(words[p : p + MIN_WORDS]), b" ".join(words[max(0, p - SPREAD) : p][::-1]), text_id, p))
         for low in range(0, len(rows), 5000):
             columns = zip(*rows[low : low + 5000], strict=True)
             types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32()]
@@ -123,73 +172,112 @@ def _common(a: list[bytes], b: list[bytes]) -> int:
     return n
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans ``text_id, start, end`` of matches; rows with a key instead name one left to decide.
+COMPARED = "text_id long, start int, end int, key long, place int, ahead binary, behind binary, matched boolean, reach int"
+ORDER = ["key", "ahead", "behind", "text_id", "place"]
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterator[pa.RecordBatch]:
+    """Compare neighbours of different texts in rows sorted by :data:`ORDER`.
 
-    Held are the suffixes of one text at the sorted place, and the last one of the text before.
+    Three kinds of rows come out: spans ``text_id, start, end`` of matches; suffixes ``key, text_id,
+    place`` left unmatched that might match a third one; and, unless this is the ``last`` step, the
+    suffixes of the partition's first and last text as they are, since their other neighbour lies
+    in another partition.  ``reach`` is the longest match to the right so far, which no other
+    text exceeds.  Held are the suffixes of one text, and the last one of the text before.
     """
     out: list[tuple] = []
     key, first = None, True
-    run: list[list] = []  # [text_id, place, ahead, behind, matched]
+    run: list[list] = []  # [text_id, place, ahead, behind, matched, reach]
     before: list | None = None
-    open_key = False
 
     def pair(a: list, b: list) -> None:
         right, left = _common(a[2], b[2]), _common(a[3], b[3])
-        if right + left >= MIN_WORDS:
-            for x in (a, b):
+        for x in (a, b):
+            x[5] = max(x[5], right)
+            if right + left >= MIN_WORDS:
                 x[4] = True
-                out.append((x[0], x[1] - left, x[1] + right, None))
+                out.append((x[0], x[1] - left, x[1] + right, None, None, None, None, None, None))
 
-    def leave(rows: list[list]) -> None:
-        nonlocal open_key
-        open_key |= not all(x[4] for x in rows)
-
-    def close(edge: bool) -> None:
-        leave(run + ([before] if before else []))
-        if key is not None and (open_key or edge):
-            out.append((None, None, None, key))
+    def leave(rows: list[list], edge: bool) -> None:
+        """Rows that meet no other text in this partition any more."""
+        for x in rows:
+            if edge and not last:
+                out.append((x[0], None, None, key, x[1], b" ".join(x[2]), b" ".join(x[3]), x[4], x[5]))
+            elif not x[4] and x[5] >= KEY_WORDS and x[5] + len(x[3]) >= MIN_WORDS:
+                out.append((x[0], None, None, key, x[1], None, None, None, None))
 
     def flushed() -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) or [()] * 4
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["text_id", "start", "end", "key"])
+        columns = list(zip(*out, strict=True)) or [()] * 9
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_(), pa.int32()]
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [c.split(" ")[0] for c in COMPARED.split(", ")])
         out.clear()
         return batch
 
     for batch in batches:
-        for k, ahead, behind, text_id, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            row = [text_id, place, ahead.split(b" "), behind.split(b" ") if behind else [], False]
-            if k != key:
-                close(first)
-                first = key is None
-                key, run, before, open_key = k, [], None, False
-            if run and run[-1][0] != text_id:
-                for x in run:
-                    pair(x, row)
-                leave(run[:-1] + ([before] if before else []))
-                before, run = run[-1], []
+        for k, ahead, behind, text_id, place, matched, reach in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            row = [text_id, place, ahead.split(b" "), behind.split(b" ") if behind else [], bool(matched), reach]
+            if run and (k != key or run[-1][0] != text_id):
+                if k == key:
+                    for x in run:
+                        pair(x, row)
+                leave(run, first)
+                before = run[-1] if k == key else None
+                run, first = [], False
             elif before:
                 pair(before, row)
+            key = k
             run.append(row)
         if len(out) > 20_000:
             yield flushed()
-    close(True)
+    leave(run, True)
     yield flushed()
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All windows of MIN_WORDS words that hold a suffix's first place: ``window, text_id, start``."""
+def _at_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _neighbours(batches, last=True)
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, int]]:
+    """Text, MD5 and first word of each window of MIN_WORDS words that holds a suffix's first word."""
     for batch in batches:
-        rows = []
-        for _, ahead, behind, text_id, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            right, left = ahead.split(b" "), (behind.split(b" ") if behind else [])[::-1]
-            words = left + right
-            low = max(0, len(left) - SPREAD)
-            rows += [(b" ".join(words[i : i + MIN_WORDS]), text_id, place - len(left) + i) for i in range(low, min(len(left), len(words) - MIN_WORDS) + 1)]
-        for at in range(0, len(rows), 5000):
-            columns = list(zip(*rows[at : at + 5000], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32())], ["window", "text_id", "start"])
+        for ahead, behind, text_id, place in zip(*(batch.column(n).to_pylist() for n in ("ahead", "behind", "text_id", "place")), strict=True):
+            left = (behind.split(b" ") if behind else [])[::-1]
+            words = left + ahead.split(b" ")
+            for i in range(min(len(left), len(words) - MIN_WORDS) + 1):
+                yield text_id, hashlib.md5(b" ".join(words[i : i + MIN_WORDS])).digest(), place - len(left) + i
+
+
+def _window_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``window, a, b``: least and greatest text of each window, for some 100,000 windows at a time."""
+    seen: dict[bytes, tuple[int, int]] = {}
+
+    def made() -> pa.RecordBatch:
+        columns = [pa.array(seen, pa.binary()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())]
+        seen.clear()
+        return pa.RecordBatch.from_arrays(columns, ["window", "a", "b"])
+
+    for text_id, window, _ in _windows(batches):
+        low, high = seen.get(window, (text_id, text_id))
+        seen[window] = (min(low, text_id), max(high, text_id))
+        if len(seen) >= 100_000:
+            yield made()
+    yield made()
+
+
+def _window_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``window, text_id, start`` of every window."""
+    rows: list[tuple] = []
+
+    def made() -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [()] * 3
+        rows.clear()
+        return pa.RecordBatch.from_arrays([pa.array(columns[1], pa.binary()), pa.array(columns[0], pa.int64()), pa.array(columns[2], pa.int32())], ["window", "text_id", "start"])
+
+    for row in _windows(batches):
+        rows.append(row)
+        if len(rows) >= 20_000:
+            yield made()
+    yield made()
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -204,20 +292,26 @@ def passages(docs: DataFrame) -> DataFrame:
     texts = cut(texts, "texts")
 
     anchors = cut(arrow_map(rows.select("text_id", "text"), _anchors, "key long, text_id long, place int"), "anchors")
-    repeated = anchors.groupBy("key").agg(F.min("text_id").alias("a"), F.max("text_id").alias("b")).where("a <> b").select("key")
-    kept = anchors.join(repeated, "key", "left_semi").groupBy("text_id").agg(F.collect_set(F.struct("place", "key")).alias("kept"))
+    by_key = ["key", "text_id", "place"]
+    repeated = arrow_map(anchors.repartitionByRange(*by_key).sortWithinPartitions(*by_key), _repeated, "key long, text_id long, place int")
+    kept = cut(repeated.groupBy("text_id").agg(F.collect_set(F.struct("place", "key")).alias("kept")), "kept")
     one = kept.join(texts, "text_id").select(F.col("text_id").alias("__id"), "rep", "kept")
-    with_text = rows.join(one, (F.col("text_id") == F.col("__id")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "text_id", "kept")
-    contexts = cut(arrow_map(with_text, _contexts, "key long, ahead binary, behind binary, text_id long, place int").dropDuplicates(["text_id", "place"]), "contexts")
-
-    order = ["key", "ahead", "behind", "text_id", "place"]
-    compared = cut(arrow_map(contexts.repartitionByRange(*order).sortWithinPartitions(*order), _neighbours, "text_id long, start int, end int, key long"), "compared")
-    undecided = compared.where("key is not null").select("key").distinct()
-    windows = arrow_map(contexts.join(undecided, "key", "left_semi"), _windows, "window binary, text_id long, start int").select(F.md5("window").alias("window"), "text_id", "start").distinct()
-    twice = windows.groupBy("window").agg(F.min("text_id").alias("a"), F.max("text_id").alias("b")).where("a <> b").select("window")
-    exact = windows.join(twice, "window", "left_semi").select("text_id", "start", (F.col("start") + MIN_WORDS).cast("int").alias("end"))
+    wanted = kept.select(F.col("text_id").alias("__wanted"))
+    some = rows.join(F.broadcast(wanted), F.col("text_id") == F.col("__wanted"), "left_semi") if kept.count() <= MOST_TEXTS else rows
+    with_text = some.join(one, (F.col("text_id") == F.col("__id")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "text_id", "kept")
+    contexts = cut(arrow_map(with_text, _contexts, "key long, ahead binary, behind binary, text_id long, place int"), "contexts", "zstd")
+
+    fresh = contexts.select(*ORDER, F.lit(False).alias("matched"), F.lit(0).alias("reach"))
+    within = cut(arrow_map(fresh.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER), _neighbours, COMPARED), "compared", "zstd")
+    edges = within.where("ahead is not null").select(*ORDER, "matched", "reach").coalesce(1).sortWithinPartitions(*ORDER)
+    compared = within.where("ahead is null").unionByName(cut(arrow_map(edges, _at_edges, COMPARED), "edges"))
+    open_places = cut(compared.where("place is not null").select("key", "text_id", "place").distinct(), "open")
+    around = contexts.join(open_places.select("key").distinct(), "key", "left_semi")
+    twice = arrow_map(around, _window_texts, "window binary, a long, b long").groupBy("window").agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a <> b").select("window")
+    tried = arrow_map(contexts.join(open_places, by_key, "left_semi"), _window_places, "window binary, text_id long, start int")
+    exact = tried.join(twice, "window", "left_semi").select("text_id", "start", (F.col("start") + MIN_WORDS).cast("int").alias("end"))
     whole = texts.where("shared").select("text_id", F.lit(0).alias("start"), F.col("n").alias("end"))
-    spans = compared.where("key is null").select("text_id", "start", "end").union(exact).union(whole)
+    spans = compared.where("start is not null").select("text_id", "start", "end").union(exact).union(whole)
 
     def join_up(acc, x):
         last = F.element_at(acc, -1)

@@ -306,9 +306,9 @@ def passages(docs: DataFrame) -> DataFrame:
     edges = within.where("ahead is not null").select(*ORDER, "matched", "reach").coalesce(1).sortWithinPartitions(*ORDER)
     compared = within.where("ahead is null").unionByName(cut(arrow_map(edges, _at_edges, COMPARED), "edges"))
     open_places = cut(compared.where("place is not null").select("key", "text_id", "place").distinct(), "open")
-    around = contexts.join(open_places.select("key").distinct(), "key", "left_semi")
+    around = cut(contexts.join(open_places.select("key").distinct(), "key", "left_semi"), "around", "zstd")
     twice = arrow_map(around, _window_texts, "window binary, a long, b long").groupBy("window").agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a <> b").select("window")
-    tried = arrow_map(contexts.join(open_places, by_key, "left_semi"), _window_places, "window binary, text_id long, start int")
+    tried = arrow_map(around.join(open_places, by_key, "left_semi"), _window_places, "window binary, text_id long, start int")
     exact = tried.join(twice, "window", "left_semi").select("text_id", "start", (F.col("start") + MIN_WORDS).cast("int").alias("end"))
     whole = texts.where("shared").select("text_id", F.lit(0).alias("start"), F.col("n").alias("end"))
     spans = compared.where("start is not null").select("text_id", "start", "end").union(exact).union(whole)

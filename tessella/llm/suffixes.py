@@ -15,9 +15,10 @@ both, and at least ``KEY_WORDS`` words of the passage follow there.
    with the next retained suffix; so the union of matches of ``MIN_WORDS`` or more words covers a
    passage of any length.  Suffixes at a partition's edges are compared with those across in one
    more step, which has the suffixes of two texts for each partition.
-3. A neighbour on the right may differ on the left from a third suffix that would match.  Suffixes
-   left unmatched that might match so are decided exactly: the windows of ``MIN_WORDS`` words
-   around all suffixes with their hash are compared by MD5.
+3. Keys of few suffixes are compared pair by pair.  In others a neighbour on the right may differ
+   on the left from a third suffix that would match, or match longer.  Suffixes that might match
+   so, which are those whose match does not reach both limits, are decided exactly: the windows of
+   ``MIN_WORDS`` words around all suffixes with their hash are compared by MD5.
 
 A text that is itself held by several documents is a passage as a whole if it has MIN_WORDS words.
 
@@ -46,6 +47,8 @@ KEY_WORDS = MIN_WORDS - SPREAD
 MOST_TEXTS = 1_000_000
 #: Words whose hashes a worker keeps.
 MOST_WORDS = 1_000_000
+#: Most suffixes of a key that are compared pair by pair.
+MOST_PAIRED = 32
 _ODD = 0x9E3779B97F4A7C15
 
 _hashes: dict[bytes, int] = {}
@@ -172,63 +175,107 @@ def _common(a: list[bytes], b: list[bytes]) -> int:
     return n
 
 
-COMPARED = "text_id long, start int, end int, key long, place int, ahead binary, behind binary, matched boolean, reach int"
+COMPARED = "text_id long, start int, end int, key long, place int, ahead binary, behind binary, before int, after int, reach int"
 ORDER = ["key", "ahead", "behind", "text_id", "place"]
+STATE = ["before", "after", "reach"]
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterator[pa.RecordBatch]:
-    """Compare neighbours of different texts in rows sorted by :data:`ORDER`.
+    """Compare suffixes of different texts in rows sorted by :data:`ORDER`.
 
     Three kinds of rows come out: spans ``text_id, start, end`` of matches; suffixes ``key, text_id,
-    place`` left unmatched that might match a third one; and, unless this is the ``last`` step, the
+    place`` that a text not compared might match longer; and, unless this is the ``last`` step, the
     suffixes of the partition's first and last text as they are, since their other neighbour lies
-    in another partition.  ``reach`` is the longest match to the right so far, which no other
-    text exceeds.  Held are the suffixes of one text, and the last one of the text before.
+    in another partition.  ``before`` and ``after`` are the words matched so far to the left and
+    right, ``reach`` the longest common run to the right, which no other text exceeds.
+
+    Keys of up to ``MOST_PAIRED`` suffixes that lie wholly in the partition are compared pair by pair.
+    Of others, neighbours are: held are the suffixes of one text, and the last one of the text before.
     """
     out: list[tuple] = []
-    key, first = None, True
-    run: list[list] = []  # [text_id, place, ahead, behind, matched, reach]
+    key, first_key, first, paired = None, True, True, False
+    group: list[list] = []  # [text_id, place, ahead, behind, before, after, reach]
+    run: list[list] = []
     before: list | None = None
 
     def pair(a: list, b: list) -> None:
         right, left = _common(a[2], b[2]), _common(a[3], b[3])
         for x in (a, b):
-            x[5] = max(x[5], right)
+            x[6] = max(x[6], right)
             if right + left >= MIN_WORDS:
-                x[4] = True
-                out.append((x[0], x[1] - left, x[1] + right, None, None, None, None, None, None))
+                x[4], x[5] = max(x[4], left), max(x[5], right)
+
+    def span(x: list) -> None:
+        if x[4] + x[5]:
+            out.append((x[0], x[1] - x[4], x[1] + x[5], None, None, None, None, None, None, None))
 
     def leave(rows: list[list], edge: bool) -> None:
         """Rows that meet no other text in this partition any more."""
         for x in rows:
             if edge and not last:
-                out.append((x[0], None, None, key, x[1], b" ".join(x[2]), b" ".join(x[3]), x[4], x[5]))
-            elif not x[4] and x[5] >= KEY_WORDS and x[5] + len(x[3]) >= MIN_WORDS:
-                out.append((x[0], None, None, key, x[1], None, None, None, None))
+                out.append((x[0], None, None, key, x[1], b" ".join(x[2]), b" ".join(x[3]), *x[4:]))
+                continue
+            span(x)
+            if (x[4] < len(x[3]) or x[5] < x[6]) and x[6] >= KEY_WORDS and x[6] + len(x[3]) >= MIN_WORDS:
+                out.append((x[0], None, None, key, x[1], None, None, None, None, None))
+
+    def follow(row: list, same: bool) -> None:
+        """Take the next row in order, of the ``same`` key as the one before it or not."""
+        nonlocal run, first, before
+        if run and (not same or run[-1][0] != row[0]):
+            if same:
+                for x in run:
+                    pair(x, row)
+            leave(run, first)
+            before = run[-1] if same else None
+            run, first = [], False
+        elif before:
+            pair(before, row)
+        run.append(row)
+
+    def settle() -> None:
+        """Compare all pairs of a key that has ended."""
+        for i, a in enumerate(group):
+            for b in group[:i]:
+                if a[0] != b[0]:
+                    pair(a, b)
+        for x in group:
+            span(x)
+        group.clear()
 
     def flushed() -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) or [()] * 9
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_(), pa.int32()]
+        columns = list(zip(*out, strict=True)) or [()] * 10
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32()]
         batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [c.split(" ")[0] for c in COMPARED.split(", ")])
         out.clear()
         return batch
 
     for batch in batches:
-        for k, ahead, behind, text_id, place, matched, reach in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            row = [text_id, place, ahead.split(b" "), behind.split(b" ") if behind else [], bool(matched), reach]
-            if run and (k != key or run[-1][0] != text_id):
-                if k == key:
-                    for x in run:
-                        pair(x, row)
-                leave(run, first)
-                before = run[-1] if k == key else None
-                run, first = [], False
-            elif before:
-                pair(before, row)
+        for k, ahead, behind, text_id, place, *state in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            row = [text_id, place, ahead.split(b" "), behind.split(b" ") if behind else [], *state]
+            same = k == key
+            if key is not None and not same:
+                settle()
+                if run:
+                    leave(run, first)
+                    run, before, first = [], None, False
+                first_key = False
+            if not same:
+                paired = not first_key and not last
             key = k
-            run.append(row)
+            if not paired:
+                follow(row, same)
+                continue
+            group.append(row)
+            if len(group) > MOST_PAIRED:
+                for i, x in enumerate(group):
+                    follow(x, i > 0)
+                group.clear()
+                paired = False
         if len(out) > 20_000:
             yield flushed()
+    for i, x in enumerate(group):
+        follow(x, i > 0)
     leave(run, True)
     yield flushed()
 
@@ -301,9 +348,9 @@ def passages(docs: DataFrame) -> DataFrame:
     with_text = some.join(one, (F.col("text_id") == F.col("__id")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "text_id", "kept")
     contexts = cut(arrow_map(with_text, _contexts, "key long, ahead binary, behind binary, text_id long, place int"), "contexts", "zstd")
 
-    fresh = contexts.select(*ORDER, F.lit(False).alias("matched"), F.lit(0).alias("reach"))
+    fresh = contexts.select(*ORDER, *(F.lit(0).alias(c) for c in STATE))
     within = cut(arrow_map(fresh.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER), _neighbours, COMPARED), "compared", "zstd")
-    edges = within.where("ahead is not null").select(*ORDER, "matched", "reach").coalesce(1).sortWithinPartitions(*ORDER)
+    edges = within.where("ahead is not null").select(*ORDER, *STATE).coalesce(1).sortWithinPartitions(*ORDER)
     compared = within.where("ahead is null").unionByName(cut(arrow_map(edges, _at_edges, COMPARED), "edges"))
     open_places = cut(compared.where("place is not null").select("key", "text_id", "place").distinct(), "open")
     around = cut(contexts.join(open_places.select("key").distinct(), "key", "left_semi"), "around", "zstd")

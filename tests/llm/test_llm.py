@@ -357,6 +357,28 @@ def test_passages_among_decoys(spark):
     assert {i for i, _ in got} == {i for i, _ in want} and len(got & want) >= 0.99 * len(want) and not got - want
 
 
+def test_ends_of_passages_are_exact(spark):
+    """Some of many texts with a passage share a header before it as well."""
+    shared, header = prose(22, 55), prose(23, 20)
+    rows = []
+    for i in range(240):
+        front = [prose(4000 + i, 20)] + [header] * (i % 12 == 0)
+        rows.append((i, " ".join([*front, shared, prose(random.Random(i).randrange(4), 1 + i % 3), prose(5000 + i, 20)])))
+    got = words_hit(suffixes.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect())
+    assert got == passages_of(rows)
+
+
+def test_passages_among_decoys_are_whole(spark):
+    rng = random.Random(9)
+    shared, near = prose(20, 400).split(), prose(21, 60).split()
+    rows = []
+    for i in range(60):
+        a, n = rng.randrange(300), rng.choice([40, 49, 50, 51, 80])
+        b, m = rng.randrange(10), rng.choice([34, 45, 50])
+        rows.append((i, " ".join([prose(1000 + i, rng.randrange(1, 80)), *shared[a : a + n], prose(2000 + i, 5), *near[b : b + m], prose(3000 + i, rng.randrange(1, 80))])))
+    assert words_hit(suffixes.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()) == passages_of(rows)
+
+
 # -- tool calls
 
 

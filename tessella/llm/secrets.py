@@ -6,8 +6,10 @@ alphabet that holds all its characters (hex 16, base32 32, base36 36, base62 62,
 three tests ask whether it is *nearly* random in that encoding; each takes clear structure as its
 null hypothesis, so that a small p-value speaks for a random string and needs length to arise:
 
-* chi-squared uniformity: the null is a distribution as uneven as half the alphabet left unused
-  (noncentrality ``n``), approximated by a normal of the noncentral chi-squared's moments;
+* chi-squared uniformity: the null is a distribution as uneven as the corpus's ordinary runs of the
+  same alphabet size (noncentrality ``n`` times the median unevenness of its runs, and the spread
+  of the more uneven half), but at least as half the alphabet left unused (noncentrality ``n``),
+  approximated by a normal of the noncentral chi-squared's moments;
 * runs above and below the middle of the alphabet: the null is a shift of ``EFFECT * sqrt(n)``;
 * lag-one serial correlation: the null is a correlation of ``EFFECT`` in either direction.
 
@@ -48,9 +50,14 @@ ENCODINGS = (
 )
 EFFECT, FDR = 0.8, 0.05
 BINS = 1024
+#: Fewest runs of an alphabet size that a null is fitted to.
+LEAST_RUNS = 20
+
+#: Alphabet size, unevenness and spread of the nulls that are fitted.
+Nulls = tuple[tuple[int, float, float], ...]
 
 SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
-CANDIDATES = "array<struct<start:bigint,end:bigint,n:int,p:double>>"
+CANDIDATES = "array<struct<start:bigint,end:bigint,n:int,k:int,chi:double,p:double>>"
 
 
 def _matches(text: Column, pattern: str, group: int, made) -> Column:
@@ -92,14 +99,13 @@ def normal_cdf(z: Column) -> Column:
     return let(F.abs(z) / F.lit(2.0**0.5), lambda x: F.when(z < 0, tail(x)).otherwise(1 - tail(x)))
 
 
-def _p_value(token: Column) -> Column:
-    """The largest p-value of the three tests for one candidate."""
+def _measures(token: Column) -> Column:
+    """Alphabet size, chi-squared and the larger p-value of the other two tests for one candidate."""
 
     def tests(x: Column) -> Column:
         n, k = x["n"], x["k"]
         mean = x["a"]["s"] / n
         chi = k / n * x["squares"] - n
-        z_chi = (chi - (k - 1 + n)) / F.sqrt(2 * (k - 1 + 2 * n))
         high, low = x["a"]["high"], n - x["a"]["high"]
         product = 2 * high * low
         spread = product * (product - n) / (n * n * (n - 1))
@@ -109,7 +115,7 @@ def _p_value(token: Column) -> Column:
         serial = F.when(centred > 0, F.abs(cross / F.when(centred > 0, centred)))
         p_runs = F.coalesce(normal_cdf(runs - EFFECT * F.sqrt(n)), F.lit(1.0))
         p_serial = F.coalesce(normal_cdf((serial - EFFECT) * F.sqrt(n)), F.lit(1.0))
-        return F.greatest(normal_cdf(z_chi), p_runs, p_serial)
+        return F.struct(k.cast("int").alias("k"), chi.alias("chi"), F.greatest(p_runs, p_serial).alias("p"))
 
     def measured(x: Column) -> Column:
         half = x["k"] / 2
@@ -145,17 +151,17 @@ def _p_value(token: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """Array of ``(start, end, n, p)`` of the runs that the test battery has judged."""
+    """Array of ``(start, end, n, k, chi, p)`` of the runs that the test battery has measured."""
 
     def made(start: Column, match: Column, _: Column) -> Column:
         n = F.length(match)
-        return F.struct(start.alias("start"), (start + n).cast("long").alias("end"), n.alias("n"), _p_value(match).alias("p"))
+        return let(_measures(match), lambda x: F.struct(start.alias("start"), (start + n).cast("long").alias("end"), n.alias("n"), x["k"].alias("k"), x["chi"].alias("chi"), x["p"].alias("p")))
 
     return F.when(text.rlike(CANDIDATE), _matches(text, CANDIDATE, 0, made)).otherwise(F.array()).cast(CANDIDATES)
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__base`` and ``__tested``: base spans and judged candidates."""
+    """``docs`` with ``__base`` and ``__tested``: base spans and measured candidates."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.withColumn("__base", base_spans(text)).withColumn("__tested", candidates(text))
 
@@ -165,22 +171,53 @@ def _bin(p: Column, n: Column, mean_length: float) -> Column:
     return F.when(adjusted <= 0, BINS).otherwise(F.least(F.lit(BINS), F.floor(-64 * F.log10(adjusted)))).cast("int")
 
 
-def discovery_bin(scanned: DataFrame, fdr: float = FDR) -> tuple[float, int]:
-    """Mean candidate length, and the least bin whose candidates are discoveries (BINS + 1: none)."""
-    tested = scanned.select(F.explode("__tested").alias("c")).select("c.n", "c.p")
-    mean_length = tested.agg(F.avg("n")).first()[0]
+def _z(n: Column, k: Column, chi: Column, uneven: Column) -> Column:
+    """Chi-squared standardised by the null of an alphabet whose unevenness is ``uneven``."""
+    return (chi - (k - 1 + n * uneven)) / F.sqrt(2 * (k - 1 + 2 * n * uneven))
+
+
+def fitted_nulls(tested: DataFrame) -> Nulls:
+    """Alphabet size, unevenness and spread of the runs ``n, k, chi``, by alphabet size."""
+    uneven = (F.col("chi") - F.col("k") + 1) / (F.col("n") - 1)
+    middle = tested.groupBy("k").agg(F.percentile_approx(uneven, 0.5, 10_000).alias("uneven"), F.count("*").alias("runs"))
+    # A row for each alphabet size.
+    found = {r.k: r.uneven for r in middle.collect() if r.runs >= LEAST_RUNS and r.uneven > 1}
+    if not found:
+        return ()
+    z = _z(F.col("n"), F.col("k"), F.col("chi"), _of_size(F.col("k"), found, 1.0))
+    spread = tested.withColumn("z", z).where("z > 0").groupBy("k").agg(F.percentile_approx("z", 0.5, 10_000).alias("z"))
+    wide = {r.k: max(1.0, r.z / 0.6745) for r in spread.collect()}
+    return tuple((k, u, wide.get(k, 1.0)) for k, u in sorted(found.items()))
+
+
+def _of_size(k: Column, values: dict[int, float], other: float) -> Column:
+    return F.coalesce(*(F.when(k == size, F.lit(v)) for size, v in values.items()), F.lit(other))
+
+
+def p_value(c: Column, nulls: Nulls) -> Column:
+    """The largest p-value of the three tests for a measured candidate."""
+    z = _z(c["n"], c["k"], c["chi"], _of_size(c["k"], {k: u for k, u, _ in nulls}, 1.0))
+    return F.greatest(normal_cdf(z / _of_size(c["k"], {k: s for k, _, s in nulls}, 1.0)), c["p"])
+
+
+def discovery_bin(scanned: DataFrame, fdr: float = FDR) -> tuple[float, int] | tuple[float, int, Nulls]:
+    """Mean candidate length, the least bin whose candidates are discoveries (BINS + 1: none), and the nulls."""
+    tested = scanned.select(F.explode("__tested").alias("c"))
+    mean_length = tested.agg(F.avg("c.n")).first()[0]
     if mean_length is None:
         return 1.0, BINS + 1
-    counts = tested.groupBy(_bin(F.col("p"), F.col("n"), mean_length).alias("bin")).count()
+    nulls = fitted_nulls(tested.select("c.n", "c.k", "c.chi"))
+    judged = tested.select("c.n", p_value(F.col("c"), nulls).alias("p"))
+    counts = judged.groupBy(_bin(F.col("p"), F.col("n"), mean_length).alias("bin")).count()
     # BINS + 1 rows at most.
     tail = counts.select("bin", F.sum("count").over(Window.orderBy(F.desc("bin"))).alias("found"), F.sum("count").over(Window.partitionBy()).alias("m"))
     least = tail.where(F.pow(F.lit(10.0), -F.col("bin") / 64) * F.col("m") <= fdr * F.col("found")).agg(F.min("bin")).first()[0]
-    return mean_length, BINS + 1 if least is None else least
+    return mean_length, BINS + 1 if least is None else least, nulls
 
 
-def all_spans(mean_length: float, least_bin: int) -> Column:
+def all_spans(mean_length: float, least_bin: int, nulls: Nulls = ()) -> Column:
     """Sorted array of base spans and discoveries, for a frame that :func:`scan` has made."""
-    found = F.filter("__tested", lambda c: _bin(c["p"], c["n"], mean_length) >= least_bin)
+    found = F.filter("__tested", lambda c: _bin(p_value(c, nulls), c["n"], mean_length) >= least_bin)
     random = F.transform(found, lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")))
     return F.sort_array(F.concat("__base", random.cast(SPANS)))
 

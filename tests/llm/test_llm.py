@@ -136,6 +136,26 @@ def test_random_strings_are_told_from_words(spark):
     assert len(hit & set(range(40))) >= 38 and len(hit - set(range(40))) <= 2
 
 
+@pytest.mark.parametrize(("length", "least"), [(32, 40), (40, 140)])
+def test_usual_keys_are_found_in_the_minority(spark, length, least):
+    rng = random.Random(length)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    letters, weights = "etaoinshrdlucmfwypvbgkjqxz", [12.7, 9.1, 8.2, 7.5, 7, 6.7, 6.3, 6.1, 6, 4.3, 4, 2.8, 2.8, 2.4, 2.2, 2.4, 2, 1.9, 1, 1.5, 2, 0.8, 0.2, 0.1, 0.2, 0.1]
+    word = lambda: "".join(rng.choices(letters, weights, k=rng.randint(3, 9)))
+    keys = ["".join(rng.choice(alphabet) for _ in range(length)) for _ in range(200)]
+    plain = []
+    for i in range(4000):
+        words = [word() for _ in range(rng.randint(5, 9))]
+        plain.append(["/".join(words), "-".join(words), "_".join(words), "".join(w.title() for w in words)][i % 4] + str(rng.randrange(100)) * (i % 3 == 0))
+    rows = [(i, f"see {t} there") for i, t in enumerate(keys + plain)]
+    scanned = cut(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")), "t")
+    spans = secrets.all_spans(*secrets.discovery_bin(scanned))
+    hit = {r.doc_id for r in scanned.select("doc_id", F.size(F.filter(spans, lambda s: s["kind"] == 3)).alias("n")).where("n > 0").collect()}
+    found, wrong = len(hit & set(range(200))), len(hit - set(range(200)))
+    print(f"length {length}: {found} of 200 keys, {wrong} of 4000 others")
+    assert found >= least and wrong <= 0.1 * len(hit)
+
+
 def test_normal_cdf(spark):
     from statistics import NormalDist
 

@@ -637,7 +637,7 @@ BAND = "SELECT event_id % 25 AS band, event_id // 25 AS i, CAST(CASE WHEN event_
 @query(f"WITH p AS ({BAND}), w AS (SELECT band, i, avg(fraction) OVER (PARTITION BY band ORDER BY i ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING) AS near, median(fraction) OVER (PARTITION BY band ORDER BY i ROWS BETWEEN CURRENT ROW AND 29 FOLLOWING) AS ahead, count(*) OVER (PARTITION BY band ORDER BY i ROWS BETWEEN CURRENT ROW AND 29 FOLLOWING) AS n FROM p) SELECT band, min(i) AS depth FROM w WHERE near < 0.35 AND ahead < 0.3 AND n = 30 GROUP BY band")
 def collar_onset(spark, sf_dir):
     i, band = F.floor(col("event_id") / 25).cast("long"), col("event_id") % 25
-    p = views.table(spark, sf_dir, "events").select(band.alias("band"), i.alias("i"), F.when(i < 40 + band, 0.9).otherwise(((col("event_id") * 13) % 28) / 100.0).alias("fraction")).where("i < 200")
+    p = views.table(spark, sf_dir, "events").select(band.alias("band"), i.alias("i"), F.when(i < 40 + band, 0.9).otherwise(((col("event_id") * 13) % 28) / 100.0).alias("fraction"))
     return detect.collar_onset(p, ["band"], onset=12, run=30)
 
 

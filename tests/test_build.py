@@ -129,3 +129,9 @@ def test_query_matches_its_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
 def test_other_queries_run(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0
+
+
+def test_collar_onset_looks_at_all_events(spark, tmp_path):
+    spark.range(6000, 8000).withColumnRenamed("id", "event_id").write.parquet(str(tmp_path / "events.parquet"))
+    found = catalog.QUERIES["collar_onset"](spark, str(tmp_path)).collect()
+    assert sorted((r.band, r.depth) for r in found) == [(band, 240) for band in range(25)]

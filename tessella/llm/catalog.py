@@ -34,17 +34,21 @@ SCHEMAS = {
 def tool_messages(conversations: DataFrame) -> DataFrame:
     """Tool-call messages from plain turns: a user turn calls, the assistant's next turn answers.
 
-    Every second call depends on the one before it; in one conversation of ten the first call
-    depends on the second instead, so that order has to be found.
+    Every second call depends on the one before it.  By the conversation's number some have ids
+    that are used again, a first call that depends on a later one, a call cut off in its JSON, names
+    that are no strings, results that answer an earlier call, or one that is still to come.
     """
-    name_of = lambda turn: F.concat(F.lit("call_"), turn.cast("string"))
-    turn, tangled = F.col("turn").cast("long"), F.col("conv_id") % 10 == 3
-    later = turn % 4 == 2
-    depends = F.when(later & ~tangled, F.array(name_of(turn - 2))).when((turn == 0) & tangled, F.array(name_of(turn + 2))).otherwise(F.array().cast("array<string>"))
+    conv, turn = F.col("conv_id"), F.col("turn").cast("long")
+    name_of = lambda t: F.concat(F.lit("call_"), F.when(conv % 5 == 1, t % 4).otherwise(t).cast("string"))
+    later, tangled = turn % 4 >= 2, conv % 10 == 3
+    depends = F.when(later & ~tangled, F.array(name_of(turn - 2))).when((turn < 2) & tangled, F.array(name_of(turn + 2))).when(~later & (turn >= 4) & tangled, F.array(name_of(turn - 4)))
     call = F.struct(name_of(turn).alias("id"), F.when(later, "follow_up").otherwise("answer").alias("name"), F.struct(F.col("text").alias("prompt"), turn.alias("turn")).alias("arguments"), depends.alias("depends_on"))
-    result = F.struct(name_of(turn - 1).alias("tool_call_id"), F.col("text").alias("content"))
+    made = F.to_json(F.struct(F.array(call).alias("tool_calls")))
+    made = F.when(conv % 11 == 4, F.regexp_replace(made, '"name":"[a-z_]+"', '"name":{}')).when((conv % 7 == 2) & turn.isin(2, 3), F.substring(made, 1, 40)).otherwise(made)
+    answers = F.when((conv % 13 == 5) & (turn >= 4), turn - 3).when(conv % 17 == 6, turn + 1).otherwise(turn - 1)
+    result = F.to_json(F.struct(name_of(answers).alias("tool_call_id"), F.col("text").alias("content")))
     is_call, is_result = F.col("role") == "user", F.col("role") == "assistant"
-    text = F.when(is_call, F.to_json(F.struct(F.array(call).alias("tool_calls")))).when(is_result, F.to_json(result)).otherwise(F.col("text"))
+    text = F.when(is_call, made).when(is_result, result).otherwise(F.col("text"))
     role = F.when(is_call, "assistant").when(is_result, "tool").otherwise(F.col("role"))
     return conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))
 

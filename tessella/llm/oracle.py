@@ -65,18 +65,24 @@ OP3 = f"""
 """
 
 OP2 = """
-    WITH calls AS (SELECT conv_id, turn, text, 'call_' || turn AS call_id, CASE WHEN turn % 4 = 2 THEN 'follow_up' ELSE 'answer' END AS name FROM conversations WHERE role = 'user'),
-    results AS (SELECT conv_id, turn, text, 'call_' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'),
-    once AS (SELECT conv_id, call_id, min(turn) AS turn, any_value(name) AS name, arg_min(text, turn) AS text, count(*) AS n_calls FROM calls GROUP BY conv_id, call_id),
-    first AS (SELECT conv_id, call_id, min(turn) AS result_turn, arg_min(text, turn) AS content, count(*) AS n_results FROM results GROUP BY conv_id, call_id),
-    met AS (SELECT coalesce(o.conv_id, f.conv_id) AS conv_id, coalesce(o.call_id, f.call_id) AS call_id, o.call_id IS NOT NULL AS has, o.turn, o.name, o.text, n_calls, f.result_turn, f.content, f.n_results
-            FROM once o FULL JOIN first f ON o.conv_id = f.conv_id AND o.call_id = f.call_id),
-    checked AS (SELECT *, CASE WHEN NOT has THEN NULL WHEN length(text) < 1 THEN '$.prompt: too short' WHEN name = 'follow_up' AND length(text) > 200 THEN '$.prompt: too long' ELSE '' END AS errors FROM met)
-    SELECT conv_id, call_id, CASE WHEN NOT has THEN 'orphan' WHEN n_results IS NULL THEN 'unanswered' WHEN result_turn < turn THEN 'early' ELSE 'linked' END AS status, name,
-           CAST(coalesce(turn, result_turn) AS BIGINT) AS turn, 0 AS place,
-           CASE WHEN has AND turn = 0 AND conv_id % 10 = 3 AND (conv_id, 'call_2') IN (SELECT (conv_id, call_id) FROM once) THEN 1 ELSE 0 END AS topo_level, false AS cyclic,
-           CAST(coalesce(n_calls, 0) AS BIGINT) AS n_calls, CAST(coalesce(n_results, 0) AS BIGINT) AS n_results, CASE WHEN has THEN errors = '' END AS valid, errors,
-           '{"arguments":' || CASE WHEN has THEN '{"prompt":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '}' ELSE 'null' END || ',"id":"' || call_id || '","name":' || CASE WHEN has THEN '"' || name || '"' ELSE 'null' END
-           || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS canonical
+    WITH c AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, text FROM conversations),
+    calls AS (SELECT conv_id, turn, text, 'call_' || CASE WHEN conv_id % 5 = 1 THEN turn % 4 ELSE turn END AS call_id, CASE WHEN conv_id % 11 = 4 THEN NULL WHEN turn % 4 >= 2 THEN 'follow_up' ELSE 'answer' END AS name
+              FROM c WHERE role = 'user' AND NOT (conv_id % 11 <> 4 AND conv_id % 7 = 2 AND turn IN (2, 3))),
+    replies AS (SELECT conv_id, turn, text, CASE WHEN conv_id % 13 = 5 AND turn >= 4 THEN turn - 3 WHEN conv_id % 17 = 6 THEN turn + 1 ELSE turn - 1 END AS t FROM c WHERE role = 'assistant'),
+    results AS (SELECT conv_id, turn, text, 'call_' || CASE WHEN conv_id % 5 = 1 THEN t % 4 ELSE t END AS call_id FROM replies),
+    both_kinds AS (SELECT conv_id, call_id, turn, 1 AS one, text, name FROM calls UNION ALL SELECT conv_id, call_id, turn, 0, text, NULL FROM results),
+    counted AS (SELECT *, CAST(sum(one) OVER (PARTITION BY conv_id, call_id ORDER BY turn) AS BIGINT) AS occurrence, max(one) OVER (PARTITION BY conv_id, call_id) AS any_call FROM both_kinds),
+    first AS (SELECT conv_id, call_id, occurrence, min(turn) AS result_turn, arg_min(text, turn) AS content, count(*) AS n_results FROM counted WHERE one = 0 AND occurrence > 0 GROUP BY ALL),
+    ready AS (SELECT k.*, k.turn < 2 AND k.conv_id % 10 = 3 AND d.turn IS NOT NULL AS waits FROM counted k LEFT JOIN calls d ON d.conv_id = k.conv_id AND d.turn = k.turn + 2 WHERE k.one = 1),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN waits THEN turn + 2 ELSE turn END, waits, turn) - 1 AS position FROM ready),
+    checked AS (SELECT p.*, f.result_turn, f.content, f.n_results, CASE WHEN name IS NULL THEN '$: unknown tool' WHEN length(text) < 1 THEN '$.prompt: too short' WHEN name = 'follow_up' AND length(text) > 200 THEN '$.prompt: too long' ELSE '' END AS errors
+                FROM placed p LEFT JOIN first f USING (conv_id, call_id, occurrence))
+    SELECT conv_id, call_id, occurrence, CASE WHEN n_results IS NULL THEN 'unanswered' ELSE 'linked' END AS status, name, turn, CAST(0 AS INTEGER) AS place, result_turn, CAST(position AS BIGINT) AS position, false AS cyclic,
+           coalesce(n_results, 0) AS n_results, CAST(1 AS BIGINT) AS copies, errors = '' AS valid, errors,
+           '{"arguments":{"prompt":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '},"id":"' || call_id || '","name":' || coalesce('"' || name || '"', 'null') || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS canonical
     FROM checked
+    UNION ALL
+    SELECT conv_id, call_id, k.occurrence, CASE WHEN any_call = 0 THEN 'orphan' WHEN k.occurrence = 0 THEN 'early' ELSE 'repeated' END, NULL, turn, 0, turn, NULL, false, 0, 1, NULL, NULL,
+           '{"arguments":null,"id":"' || call_id || '","name":null,"result":' || CAST(to_json(text) AS VARCHAR) || '}'
+    FROM counted k LEFT JOIN first f USING (conv_id, call_id, occurrence) WHERE one = 0 AND (f.result_turn IS NULL OR turn <> f.result_turn)
 """

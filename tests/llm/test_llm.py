@@ -402,32 +402,119 @@ def test_passages_among_decoys_are_whole(spark):
 # -- tool calls
 
 
+CHAT = "conv_id long, turn int, role string, text string"
+ADD = {"add": {"type": "object", "required": ["x", "y"], "properties": {"x": {"type": "integer"}, "y": {"type": "integer"}}}}
+
+
+def calling(*calls):
+    return json.dumps({"tool_calls": list(calls)})
+
+
+def answering(call_id, content):
+    return json.dumps({"tool_call_id": call_id, "content": content})
+
+
 def test_tool_calls(spark):
-    call = lambda *calls: json.dumps({"tool_calls": list(calls)})
     rows = [
-        (1, 0, "assistant", call({"id": "a", "name": "add", "arguments": {"y": 2, "x": 1}, "depends_on": ["b"]}, {"id": "b", "name": "add", "arguments": '{"x": 3}'})),
-        (1, 1, "tool", json.dumps({"tool_call_id": "a", "content": {"z": [1, "é\n"]}})),
-        (1, 2, "tool", json.dumps({"tool_call_id": "a", "content": "again"})),
-        (1, 3, "tool", json.dumps({"tool_call_id": "lost", "content": None})),
-        (2, 0, "assistant", call({"id": "a", "name": "add", "arguments": {"x": 1, "y": 1}, "depends_on": ["c"]}, {"id": "c", "name": "nope", "arguments": {}, "depends_on": ["a"]}, {"id": "d", "name": "add", "arguments": {"x": 1, "y": True}, "depends_on": ["zz"]})),
-        (None, 0, "assistant", call({"name": "add", "arguments": {"x": 0, "y": 0}})),
-        (3, 1, "tool", json.dumps({"tool_call_id": "e", "content": 1})),
-        (3, 2, "assistant", call({"id": "e", "name": "add", "arguments": {"x": 1, "y": 2}}, "junk")),
+        (1, 0, "assistant", calling({"id": "a", "name": "add", "arguments": {"y": 2, "x": 1}, "depends_on": ["b"]}, {"id": "b", "name": "add", "arguments": '{"x": 3}'})),
+        (1, 1, "tool", answering("a", {"z": [1, "é\n"]})),
+        (1, 2, "tool", answering("a", "again")),
+        (1, 3, "tool", answering("lost", None)),
+        (2, 0, "assistant", calling({"id": "a", "name": "add", "arguments": {"x": 1, "y": 1}, "depends_on": ["c"]}, {"id": "c", "name": "nope", "arguments": {}, "depends_on": ["a"]}, {"id": "d", "name": "add", "arguments": {"x": 1, "y": True}, "depends_on": ["zz"]})),
+        (2, 1, "assistant", calling({"id": "behind", "name": "add", "arguments": {"x": 1, "y": 1}, "depends_on": ["a"]})),
+        (None, 0, "assistant", calling({"name": "add", "arguments": {"x": 0, "y": 0}})),
+        (3, 1, "tool", answering("e", 1)),
+        (3, 2, "assistant", calling({"id": "e", "name": "add", "arguments": {"x": 1, "y": 2}}, "junk")),
         (4, 0, "user", None),
         (4, 1, "user", "{not json"),
         (4, 2, None, ""),
     ]
-    schemas = {"add": {"type": "object", "required": ["x", "y"], "properties": {"x": {"type": "integer"}, "y": {"type": "integer"}}}}
-    found = {(r.conv_id, r.call_id): r for r in toolcalls.link(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"), schemas).collect()}
-    a, b = found[1, "a"], found[1, "b"]
-    assert (a.status, a.n_results, a.topo_level, b.topo_level) == ("linked", 2, 1, 0)
+    found = {(r.conv_id, r.call_id, r.status): r for r in toolcalls.link(spark.createDataFrame(rows, CHAT), ADD).collect()}
+    a, b = found[1, "a", "linked"], found[1, "b", "unanswered"]
+    assert (a.n_results, a.result_turn, a.position, b.position) == (2, 1, 1, 0)
     assert a.canonical == '{"arguments":{"x":1,"y":2},"id":"a","name":"add","result":{"z":[1,"é\\n"]}}'
-    assert b.status == "unanswered" and not b.valid and b.errors == "$.y: missing"
-    assert found[1, "lost"].status == "orphan" and json.loads(found[1, "lost"].canonical)["name"] is None
-    assert found[2, "a"].cyclic and found[2, "c"].cyclic and found[2, "c"].errors == "$: unknown tool"
-    assert found[2, "d"].errors == "$.y: not integer" and found[2, "d"].topo_level == 0
-    assert found[None, "0:0"].valid and found[3, "e"].status == "early" and len(found) == 8
-    assert toolcalls.link(spark.createDataFrame([], "conv_id long, turn int, role string, text string"), schemas).count() == 0
+    assert not b.valid and b.errors == "$.y: missing"
+    assert found[1, "a", "repeated"].canonical == '{"arguments":null,"id":"a","name":null,"result":"again"}'
+    assert json.loads(found[1, "lost", "orphan"].canonical)["name"] is None
+    stuck = [found[2, x, "unanswered"] for x in ("a", "c", "behind")]
+    assert all(r.cyclic and r.position is None for r in stuck) and stuck[1].errors == "$: unknown tool"
+    d = found[2, "d", "unanswered"]
+    assert d.errors == "$.y: not integer" and d.position == 0
+    assert found[None, "0:0", "unanswered"].valid
+    assert found[3, "e", "early"].turn == 1 and found[3, "e", "unanswered"].turn == 2 and len(found) == 11
+    assert toolcalls.link(spark.createDataFrame([], CHAT), ADD).count() == 0
+
+
+def test_malformed_messages_give_no_events(spark):
+    """Each of these once ended a task."""
+    deep = "[" * 100_000 + "]" * 100_000
+    rows = [
+        (1, 0, "assistant", calling({"id": "odd", "name": {}, "arguments": {"x": 1}})),
+        (1, 1, "assistant", calling({"id": "big", "name": "add", "arguments": {"x": int("9" * 400), "y": 1}})),
+        (1, 2, "assistant", '{"tool_calls": [{"id": "lone", "name": "n\\ud800", "arguments": {"x": "\\ud800"}}]}'),
+        (1, 3, "assistant", '{"tool_calls": [{"id": "deep", "arguments": ' + deep + "}]}"),
+        (1, 4, "assistant", '{"tool_calls": [{"id": "nan", "arguments": {"x": NaN}}]}'),
+        (1, 5, "assistant", '{"tool_calls": [{"id": "inf", "arguments": {"x": 1e400}}]}'),
+        (1, 6, "assistant", '{"tool_calls": {"id": "no list"}}'),
+        (1, 7, "tool", '{"tool_call_id": 5, "content": 1}'),
+        (1, 8, "assistant", '{"tool_calls": [{"id": "' + "9" * 5000 + '", "arguments": ' + "9" * 5000 + "}]}"),
+    ]
+    found = {r.call_id: r for r in toolcalls.link(spark.createDataFrame(rows, CHAT), ADD).collect()}
+    assert set(found) == {"odd", "big", "lone"}
+    assert found["odd"].name is None and found["odd"].errors == "$: unknown tool" and found["big"].valid
+    assert found["lone"].name == "n\ufffd" and "\\ud800" in found["lone"].canonical
+    for r in found.values():
+        json.loads(r.canonical)
+
+
+def test_used_ids_keep_every_call_and_result(spark):
+    rows = [(1, -1, "tool", answering("c", "stale"))]
+    for k in range(600):
+        rows += [(1, 2 * k, "assistant", calling({"id": "c", "name": "add", "arguments": {"x": k, "y": 0}, "depends_on": ["c"] if k else []})), (1, 2 * k + 1, "tool", answering("c", k))]
+    rows += rows[-1:] * 3  # equal messages are one
+    found = toolcalls.link(spark.createDataFrame(rows, CHAT).repartition(3), ADD).collect()
+    calls = sorted((r for r in found if r.status == "linked"), key=lambda r: r.turn)
+    assert [(r.occurrence, r.position) for r in calls] == [(k + 1, k) for k in range(600)]
+    assert [json.loads(r.canonical)["result"] for r in calls] == list(range(600)) and calls[-1].n_results == 4
+    assert [r.status for r in found if r.status != "linked"] == ["early"]
+
+
+def in_order(deps):
+    """Positions by the definition, one call at a time: id (its own transcript place) -> position; None on or behind a cycle."""
+    ready = {}
+
+    def solve(k, path):
+        if k in path:
+            return None
+        if k not in ready:
+            got = [solve(d, path | {k}) for d in deps[k]]
+            best = None if None in got else max([(k, 0), *((r, h + 1) for r, h in got if r >= k)])
+            if best is None:
+                return None
+            ready[k] = best
+        return ready[k]
+
+    for k in deps:
+        solve(k, frozenset())
+    order = sorted(ready, key=lambda k: (*ready[k], k))
+    return {k: order.index(k) if k in ready else None for k in deps}
+
+
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_positions_in_random_graphs(spark, monkeypatch, most):
+    monkeypatch.setattr(toolcalls, "MOST_EDGES", most)
+    rng = random.Random(12)
+    rows, want = [], {}
+    for conv in range(25):
+        n = rng.randint(1, 12)
+        deps = {k: sorted(set(rng.choices(range(n), k=rng.choice([0, 0, 0, 1, 1, 2])))) for k in range(n)}
+        if conv == 0:
+            deps = {k: [k + 1] if k < 11 else [] for k in range(12)}
+        want |= {(conv, f"i{k}"): p for k, p in in_order(deps).items()}
+        rows += [(conv, k, "assistant", calling({"id": f"i{k}", "name": "add", "arguments": {}, "depends_on": [f"i{d}" for d in deps[k]]})) for k in deps]
+    found = toolcalls.link(spark.createDataFrame(rows, CHAT), ADD).collect()
+    assert {(r.conv_id, r.call_id): r.position for r in found} == want
+    assert all(r.cyclic == (r.position is None) for r in found)
 
 
 def test_schema_checks():

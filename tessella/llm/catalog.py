@@ -61,29 +61,33 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.passages(_read(spark, sf_dir, "documents"))
 
 
-#: Pages in a WARC file of :func:`op4_fixity`.
-PAGES_IN_FILE = 100
+#: Pages in a WARC file of :func:`op4_fixity`, and files for pages without an id.
+PAGES_IN_FILE, UNNAMED_FILES = 100, 4096
 
 
 def replicas(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records of ``pages`` in two stores; the second has rotten bytes and lacks some files' ends.
+    """Records of ``pages`` in two stores; the second has rotten bytes and lacks pages.
 
-    One page of 97 has its second character overwritten; every fifth file lacks its last page.
+    One page of 97 has its second character overwritten, one of 89 is longer by a character.
+    Every fifth file lacks its last page, and every fifth but one its 38th, which shifts all
+    behind it.  Pages without an id are dealt to files by their content.
     """
-    n = F.col("page_id")
-    file = F.concat(F.lit("warc-"), F.floor(n / PAGES_IN_FILE).cast("string"))
-    rotten = (n % 97 == 13) & (F.length("html") >= 2)
-    html = F.when(rotten, F.concat(F.substring("html", 1, 1), F.lit("~"), F.expr("substring(html, 3)"))).otherwise(F.col("html"))
-    lost = (n % PAGES_IN_FILE == PAGES_IN_FILE - 1) & (F.floor(n / PAGES_IN_FILE) % 5 == 1)
-    ours = pages.select(file.alias("file"), n.alias("id"), fixity.record(F.col("url"), F.col("html")).alias("record"))
-    theirs = pages.where(~F.coalesce(lost, F.lit(False))).select(file.alias("file"), n.alias("id"), fixity.record(F.col("url"), html).alias("record"))
+    n, html = F.col("page_id"), F.col("html")
+    unnamed = F.concat(F.lit("unnamed-"), F.pmod(F.xxhash64("url", "html"), F.lit(UNNAMED_FILES)).cast("string"))
+    file = F.coalesce(F.concat(F.lit("warc-"), F.floor(n / PAGES_IN_FILE).cast("string")), unnamed)
+    rotten, longer = (n % 97 == 13) & (F.length(html) >= 2), n % 89 == 7
+    bad = F.when(rotten, F.concat(F.substring(html, 1, 1), F.lit("~"), F.expr("substring(html, 3)"))).when(longer, F.concat(F.lit("~"), F.coalesce(html, F.lit("")))).otherwise(html)
+    place, turn = n % PAGES_IN_FILE, F.floor(n / PAGES_IN_FILE) % 5
+    lost = F.coalesce(((place == PAGES_IN_FILE - 1) & (turn == 1)) | ((place == 37) & (turn == 2)), F.lit(False))
+    ours = pages.select(file.alias("file"), n.alias("id"), fixity.record(F.col("url"), html).alias("record"))
+    theirs = pages.where(~lost).select(file.alias("file"), n.alias("id"), fixity.record(F.col("url"), bad).alias("record"))
     return ours, theirs
 
 
 def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ours, theirs = (cut(fixity.laid_out(x), "leaves") for x in replicas(_read(spark, sf_dir, "pages")))
-    found = fixity.audit(cut(fixity.tree(ours), "tree"), cut(fixity.tree(theirs), "tree"))
-    wrong = found.select(F.col("file").alias("bad_file"), F.col("offset").alias("bad_offset"), "status")
+    found = fixity.audit(fixity.tree(ours), fixity.tree(theirs))
+    wrong = found.where("status <> 'extra'").select(F.col("file").alias("bad_file"), F.col("offset").alias("bad_offset"), "status")
     done = ours.join(wrong, F.col("file").eqNullSafe(F.col("bad_file")) & (F.col("offset") == F.col("bad_offset")), "left")
     return done.select(F.col("id").alias("page_id"), "file", "offset", "length", "digest", F.coalesce("status", F.lit("sound")).alias("status"))
 
@@ -143,8 +147,8 @@ ORACLE_SQL: dict[str, str] = {
     "op4_fixity": """
         WITH p AS (
             SELECT page_id, url, html, 'warc-' || CAST(page_id // 100 AS VARCHAR) AS file,
-                   coalesce(page_id % 97 = 13 AND length(html) >= 2 AND html[2] <> '~', false) AS rotten,
-                   page_id % 100 = 99 AND (page_id // 100) % 5 = 1 AS lost
+                   coalesce(page_id % 97 = 13 AND length(html) >= 2 AND html[2] <> '~', false) OR (page_id % 89 = 7 AND NOT coalesce(page_id % 97 = 13 AND length(html) >= 2, false)) AS rotten,
+                   (page_id % 100 = 99 AND (page_id // 100) % 5 = 1) OR (page_id % 100 = 37 AND (page_id // 100) % 5 = 2) AS lost
             FROM pages
         ), r AS (
             SELECT page_id, file, rotten, lost,

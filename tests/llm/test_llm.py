@@ -526,18 +526,42 @@ def test_schema_checks():
 # -- fixity
 
 
-def test_fixity(spark, tmp_path):
+def test_fixity(spark):
     rows = [(f"f{i % 3}", i, f"record {i} " + "x" * (i * 997 % 4000)) for i in range(300)]
     ours = spark.createDataFrame(rows, "file string, id long, record string")
     rotten = F.when(F.col("id").isin(7, 150), F.concat(F.lit("R"), F.expr("substring(record, 2)"))).otherwise(F.col("record"))
     theirs = ours.where("id <> 299").withColumn("record", rotten).union(spark.createDataFrame([("f9", 1000, "new")], ours.schema))
-    a, b = (cut(fixity.tree(fixity.laid_out(x)), "tree") for x in (ours, theirs))
+    a, b = (fixity.tree(fixity.laid_out(x)) for x in (ours, theirs))
     found = {(r.our_id, r.their_id, r.status) for r in fixity.audit(a, b).collect()}
     assert found == {("7", "7", "corrupt"), ("150", "150", "corrupt"), ("299", None, "missing"), (None, "1000", "extra")}
     assert fixity.audit(a, a).count() == 0
-    empty = cut(fixity.tree(fixity.laid_out(ours.limit(0))), "tree")
+    empty = fixity.tree(fixity.laid_out(ours.limit(0)))
     assert fixity.audit(a, empty).where("status = 'missing'").count() == 300
-    assert a.where("level = 1").count() > 3
+    assert fixity.audit(empty, a).where("status = 'extra'").count() == 300 and fixity.audit(empty, empty).count() == 0
+    assert a[1].count() > 3 and a[-1].count() == 1
+
+
+def test_a_loss_in_the_middle_is_one_loss(spark):
+    """Records behind a lost, a longer or a shorter one lie elsewhere, but are sound."""
+    rows = [(f"f{i % 2}", i, f"record {i} " + "x" * (i * 997 % 4000)) for i in range(400)]
+    ours = spark.createDataFrame(rows, "file string, id long, record string")
+    other = F.when(F.col("id") == 11, F.concat("record", F.lit("more"))).when(F.col("id") == 200, F.lit("short")).otherwise(F.col("record"))
+    theirs = ours.where("id not in (5, 300)").withColumn("record", other).union(spark.createDataFrame([("f0", 251, "new in the middle")], ours.schema))
+    a, b = (fixity.tree(fixity.laid_out(x)) for x in (ours, theirs))
+    found = {(r.file, r.our_id, r.their_id, r.status) for r in fixity.audit(a, b).collect()}
+    assert found == {("f1", "5", None, "missing"), ("f0", "300", None, "missing"), ("f1", "11", "11", "corrupt"), ("f0", "200", "200", "corrupt"), ("f0", None, "251", "extra")}
+
+
+def test_fixity_of_null_ids_and_repeated_rows(spark):
+    schema = "page_id long, url string, html string, file string, node long, digest string"
+    pages = [(None, "u", "h"), (None, "u", "h"), (None, None, None), (None, "v", None), (3, "w", "x" * 3_000_000), (3, "w", "x" * 3_000_000), (3, "w", "y")]
+    frame = spark.createDataFrame([(*p, "a", 1, "b") for p in pages], schema)
+    ours, theirs = (fixity.laid_out(x) for x in catalog.replicas(frame))
+    assert ours.count() == 7 and ours.where("file like 'unnamed-%'").count() == 4
+    assert fixity.audit(fixity.tree(ours), fixity.tree(theirs)).count() == 0
+    fewer = fixity.laid_out(catalog.replicas(spark.createDataFrame([(*p, "a", 1, "b") for p in [*pages[1:5], pages[6]]], schema))[1])
+    found = fixity.audit(fixity.tree(ours), fixity.tree(fewer)).collect()
+    assert sorted((r.our_id or "", r.status) for r in found) == [("", "missing"), ("3", "missing")]
 
 
 def test_warc_round_trip(spark, tmp_path):
@@ -546,10 +570,12 @@ def test_warc_round_trip(spark, tmp_path):
     pages = spark.createDataFrame([(0, "http://a", "<p>é</p>"), (1, None, None), (2, "http://b", "\r\n\r\n")], "page_id long, url string, html string")
     data = [r[0] for r in pages.orderBy("page_id").select(fixity.record(F.col("url"), F.col("html"))).collect()]
     (tmp_path / "a.warc").write_bytes("".join(data).encode())
-    (tmp_path / "b.warc.gz").write_bytes(gzip.compress("".join(data).encode()))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(x.encode()) for x in data))
     for name in ("a.warc", "b.warc.gz"):
-        rows = fixity.read_warc(spark, str(tmp_path / name)).orderBy("id").collect()
-        assert [bytes(r.record).decode() for r in rows] == data
+        rows = fixity.read_warc(spark, str(tmp_path / name)).orderBy("number").collect()
+        assert [bytes(r.record).decode() for r in rows] == data and [r.id for r in rows] == ["0", "1", "2"]
+    (tmp_path / "c.warc").write_bytes(data[0].replace("WARC-Type", "WARC-Record-ID: <urn:x>\r\nWARC-Type").encode() + b"WARC/1.0\r\nno length\r\n\r\n")
+    assert [r.id for r in fixity.read_warc(spark, str(tmp_path / "c.warc")).collect()] == ["<urn:x>"]
 
 
 # -- registration

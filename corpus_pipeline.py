@@ -18,9 +18,8 @@ from tessella.llm.shared import cut
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the calibrated cutoffs reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = cut(quality.features(docs).select("doc_id", "__quality"), "quality")
-    cutoffs = quality.cutoffs_of(judged, labels)
-    return quality.apply_cutoffs(quality.features(docs), cutoffs).where("__kept").select(docs.columns)
+    judged = cut(quality.features(docs), "quality")
+    return quality.apply_cutoffs(judged, quality.cutoffs_of(judged, labels)).where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,17 +36,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret in their texts replaced by a mask."""
     scanned = cut(secrets.scan(docs), "scanned")
     spans = secrets.all_spans(*secrets.discovery_bin(scanned))
-    text = F.when(F.col("text").isNotNull(), secrets.redacted(F.col("text"), spans))
-    masked = scanned.withColumn("__masked", text)
-    return masked.select(*(_of(c) for c in docs.columns))
-
-
-def _of(column: str):
-    if column == "text":
-        return F.col("__masked").alias("text")
-    if column == "n_chars":
-        return F.when(F.col("text").eqNullSafe(F.col("__masked")), F.col("n_chars")).otherwise(F.length("__masked")).cast("long").alias("n_chars")
-    return F.col(column)
+    text = F.col("row.text")
+    masked = scanned.select("row", F.when(text.isNotNull(), secrets.redacted(text, spans)).alias("masked"))
+    length = F.when(text.eqNullSafe(F.col("masked")), F.col("row.n_chars")).otherwise(F.length("masked")).cast("long")
+    new = {"text": F.col("masked"), "n_chars": length}
+    return masked.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

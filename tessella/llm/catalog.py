@@ -17,11 +17,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = cut(quality.features(_read(spark, sf_dir, "documents")).select("doc_id", "__quality"), "quality")
+    judged = cut(quality.features(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select(F.struct("row.doc_id").alias("row"), "quality"), "quality")
     cutoffs = quality.cutoffs_of(judged, _read(spark, sf_dir, "labels"))
     done = quality.apply_cutoffs(judged, cutoffs)
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    return done.select("doc_id", *(F.col(f"__quality.{n}") for n in counts), F.col("__kept").alias("kept"), "__quality.reject_level", "__quality.stratum", F.coalesce("__level", F.lit(0)).alias("cutoff_level"))
+    return done.select("row.doc_id", *(F.col(f"quality.{n}") for n in counts), "kept", "quality.reject_level", "quality.stratum", F.col("cutoff").alias("cutoff_level"))
 
 
 #: Schemas of the tools in the messages that :func:`tool_messages` makes.
@@ -93,10 +93,10 @@ def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scanned = cut(secrets.scan(_read(spark, sf_dir, "documents")).select("doc_id", "__base", "__tested"), "secrets")
+    scanned = cut(secrets.scan(_read(spark, sf_dir, "documents").select("doc_id", "text")).select("row.doc_id", "base", "tested"), "secrets")
     spans = secrets.all_spans(*secrets.discovery_bin(scanned))
-    of = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k)).cast("long")
-    return scanned.select("doc_id", *(of(k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])), F.sha2(secrets.written(F.col("__base")), 256).alias("base_sha256"), secrets.written(spans).alias("spans"))
+    of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return scanned.select("doc_id", *(of(k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])), F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"), secrets.written(spans).alias("spans"))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

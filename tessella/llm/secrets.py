@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.shared import let, prefix_sums
+from tessella.llm.shared import let, prefix_sums, wrapped
 
 #: Kind, pattern, group measured, its least length.  Fixed values.
 PATTERNS = (
@@ -161,9 +161,9 @@ def candidates(text: Column) -> Column:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__base`` and ``__tested``: base spans and measured candidates."""
+    """``row, base, tested``: the columns of ``docs`` as a struct, base spans and measured candidates."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumn("__base", base_spans(text)).withColumn("__tested", candidates(text))
+    return wrapped(docs, base=base_spans(text), tested=candidates(text))
 
 
 def _bin(p: Column, n: Column, mean_length: float) -> Column:
@@ -202,7 +202,7 @@ def p_value(c: Column, nulls: Nulls) -> Column:
 
 def discovery_bin(scanned: DataFrame, fdr: float = FDR) -> tuple[float, int] | tuple[float, int, Nulls]:
     """Mean candidate length, the least bin whose candidates are discoveries (BINS + 1: none), and the nulls."""
-    tested = scanned.select(F.explode("__tested").alias("c"))
+    tested = scanned.select(F.explode("tested").alias("c"))
     mean_length = tested.agg(F.avg("c.n")).first()[0]
     if mean_length is None:
         return 1.0, BINS + 1
@@ -217,9 +217,9 @@ def discovery_bin(scanned: DataFrame, fdr: float = FDR) -> tuple[float, int] | t
 
 def all_spans(mean_length: float, least_bin: int, nulls: Nulls = ()) -> Column:
     """Sorted array of base spans and discoveries, for a frame that :func:`scan` has made."""
-    found = F.filter("__tested", lambda c: _bin(p_value(c, nulls), c["n"], mean_length) >= least_bin)
+    found = F.filter("tested", lambda c: _bin(p_value(c, nulls), c["n"], mean_length) >= least_bin)
     random = F.transform(found, lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")))
-    return F.sort_array(F.concat("__base", random.cast(SPANS)))
+    return F.sort_array(F.concat("base", random.cast(SPANS)))
 
 
 def written(spans: Column) -> Column:
@@ -229,23 +229,34 @@ def written(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """``text`` with the union of ``spans`` replaced by ``mask``."""
-    empty = F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)")
-
-    def merged(s: Column) -> Column:
-        def add(acc: Column, x: Column) -> Column:
-            last = F.element_at(acc, -1)
-            wider = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], x["end"]).alias("b"))))
-            return F.when((F.size(acc) > 0) & (x["start"] <= F.get(acc, F.size(acc) - 1)["b"]), wider).otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("a"), x["end"].alias("b")))))
-
-        return F.aggregate(s, empty, add)
-
-    def pieces(m: Column) -> Column:
-        def part(chars: Column) -> Column:
-            cut = lambda a, b: F.array_join(F.slice(chars, (a + 1).cast("int"), (b - a).cast("int")), "")
-            before = F.transform(m, lambda x, i: F.concat(cut(F.when(i > 0, F.get(m, i - 1)["b"]).otherwise(0), x["a"]), F.lit(mask)))
-            return F.concat(F.array_join(before, ""), cut(F.element_at(m, -1)["b"], F.size(chars)))
-
-        return let(F.split(text, ""), part)
-
-    return F.when(F.size(spans) == 0, text).otherwise(let(merged(spans), pieces))
+    """``text`` with the union of the sorted ``spans`` replaced by ``mask``.
+
+    Everything is one pass over the spans: a span that begins inside an earlier one only extends
+    it, so the text between is cut where each span begins beyond all before.
+    """
+
+    def reach(ends: Column) -> Column:
+        """The greatest end of all earlier spans, for each span; blocks of 64 keep it near linear."""
+        block = 64
+        greatest = lambda part: F.coalesce(F.array_max(part), F.lit(0).cast("long"))
+        highs = lambda: F.transform(F.sequence(F.lit(1), F.size(ends), F.lit(block)), lambda s: F.array_max(F.slice(ends, s, block)))
+        return let(highs(), lambda high: F.transform(ends, lambda _, i: F.greatest(greatest(F.slice(high, 1, (i / block).cast("int"))), greatest(F.slice(ends, i - i % block + 1, i % block)))))
+
+    size = 4096  # characters of a chunk; substrings are cut from chunks, as each walks to its place
+
+    def cut(chunks: Column, low: Column, high: Column) -> Column:
+        a, b = F.floor(low / size).cast("int"), F.floor(high / size).cast("int")
+        first, last = F.get(chunks, a), F.coalesce(F.get(chunks, b), F.lit(""))
+        inside = F.substring(first, (low % size + 1).cast("int"), (high - low).cast("int"))
+        across = F.concat(F.substring(first, (low % size + 1).cast("int"), F.lit(size)), F.array_join(F.slice(chunks, a + 2, F.greatest(b - a - 1, F.lit(0))), ""), F.substring(last, F.lit(1), (high % size).cast("int")))
+        return F.when(low >= high, F.lit("")).when(a == b, inside).otherwise(across)
+
+    def pieces(x: Column) -> Column:
+        chunks, earlier = x["chunks"], x["earlier"]
+        new = lambda s, i: (i == 0) | (s["start"] > F.get(earlier, i))
+        parts = F.transform(spans, lambda s, i: F.when(new(s, i), F.concat(cut(chunks, F.get(earlier, i), s["start"]), F.lit(mask))).otherwise(""))
+        last = F.greatest(F.get(earlier, F.size(earlier) - 1), F.element_at(spans, -1)["end"])
+        return F.concat(F.array_join(parts, ""), cut(chunks, last, F.length(text).cast("long")))
+
+    known = F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0)).alias("chunks"), reach(F.transform(spans, lambda s: s["end"])).alias("earlier"))
+    return F.when(F.size(spans) == 0, text).otherwise(let(known, pieces))

@@ -14,7 +14,8 @@ are compared:
    and its 64 one-bit variants; any two that are within two bits of each other emit a common
    word, and those that emit the same word (65 at most) are within two bits of each other.
 
-Components of the links come from :mod:`tessella.llm.graph`.
+Components of the links come from :mod:`tessella.llm.graph`.  Documents then meet the table of
+fingerprints, those of hot fingerprints by a broadcast of these few.
 
 Null or wordless text has fingerprint zero, linked like any other; rows with equal doc_id are one
 node each by fingerprint; a null doc_id takes part in links but never names a component (null if
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions.workers import arrow_map
 from tessella.llm.graph import components
-from tessella.llm.shared import cut
+from tessella.llm.shared import cut, join_hot, wrapped
 
 SHINGLE, SEED = 3, 42
 MOST_MEMBERS = 64
@@ -149,26 +150,46 @@ def links(distinct: DataFrame) -> DataFrame:
     return tried.where("v is not null").union(star)
 
 
+def _classes(found: DataFrame) -> DataFrame:
+    """One row per fingerprint: ``fp, n`` (its documents), ``least`` (their least id) and ``root``, its component's fingerprint."""
+    classes = cut(found.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "classes")
+    roots = cut(components(links(classes.select("fp"))), "roots")
+    return classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "n", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, fp, component_id`` for every document."""
     found = cut(fingerprints(docs), "fingerprints")
-    classes = cut(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = cut(components(links(classes.select("fp"))), "roots")
-    linked = classes.join(roots, classes["fp"] == roots["node"]).select("fp", "root", "least")
-    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("component")), "root").select(F.col("fp").alias("node"), "component")
-    by_class = classes.join(named, classes["fp"] == F.col("node"), "left").select(F.col("fp").alias("__fp"), F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id"))
-    return found.join(by_class, F.col("fp") == F.col("__fp"), "left").select("doc_id", "fp", "component_id")
+    classes = cut(_classes(found), "rooted")
+    named = classes.join(classes.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "n", "component_id")
+    return join_hot(found, named, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without near-duplicates: of each component the document named like it stays.
+    """``docs`` without near-duplicates: of each component one row stays, by least id, then by hash of its text.
 
-    Of rows with that doc_id one stays; rows with a null doc_id can't be named and stay.
+    A null id comes after all others.  Rows with equal id and text can't be told apart, so any one
+    of them stays.
     """
-    found = near_duplicates(docs)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    stay = docs.join(keep, F.col("doc_id") == F.col("__keep"), "left").where("__keep is not null or doc_id is null").drop("__keep")
-    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if again:
-        stay = stay.where("doc_id is not null").dropDuplicates(["doc_id"]).union(stay.where("doc_id is null"))
-    return stay
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(x.as_py()) for x in batch.column("text")], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(fps)], ["doc_id", "key", "fp"])
+
+    found = cut(arrow_map(keyed, made, f"doc_id {kind}, key long, fp long"), "fingerprints")
+    # Rows of one fingerprint first meet in partial aggregates, so a hot one is no task's work.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
+    by_fp = found.groupBy("fp").agg(first)
+    roots = _classes(found).select("fp", "root")
+    keep = cut(by_fp.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.key"), "keep")
+    again = found.join(keep.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi").groupBy("doc_id", "key").count().where("count > 1")
+    again = cut(again.select("doc_id", "key"), "repeated")
+    rows = wrapped(docs, id=F.col("doc_id"), key=F.xxhash64("text"))
+    met = lambda other: rows["id"].eqNullSafe(other["doc_id"]) & (rows["key"] == other["key"])
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["key"] == b["key"])
+    single = rows.join(keep.join(again, same(keep, again), "left_anti"), met(keep), "left_semi").select("row.*")
+    several = rows.join(again, met(again), "left_semi").groupBy("id", "key").agg(F.first("row").alias("row")).select("row.*")
+    return single.unionAll(several)

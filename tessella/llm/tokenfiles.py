@@ -6,7 +6,7 @@ token ids with the end id last, which ORC keeps as run-length encoded integers.
 Bloom filter on ``doc_id`` let a reader skip stripes and row groups by metadata alone, and stripes
 are independent splits for readers.
 
-Rows with equal doc_id lie together, ordered by text, and each keeps its ids; a null doc_id sorts
+Rows with equal doc_id lie together, ordered by their text's hash, and each keeps its ids; a null doc_id sorts
 first; null text is empty, so it has the end id only; other columns are not written.  An empty
 table gives files without rows.
 """
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions.workers import arrow_map
 from tessella.llm import fasttokens
+from tessella.llm.shared import cut
 
 SCHEMA = "part int, start_in_part long, n_tokens long, ids array<int>"
 #: Text characters that one batch of ids may come from, besides a single larger document.
@@ -65,7 +66,8 @@ def write(docs: DataFrame, where: str, path: str, end_id: int = 2, stripe_bytes:
                 at += ends[-1]
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of a null or repeated id, and equal rows besides, are dealt to several files too.
+    ordered = rows.withColumn("key", F.xxhash64("text")).repartitionByRange("doc_id", "key", F.monotonically_increasing_id()).sortWithinPartitions("doc_id", "key").drop("key")
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": str(row_index), "orc.stripe.size": str(stripe_bytes), "compression": "zstd"}
     arrow_map(ordered, encoded, f"doc_id {kind}, {SCHEMA}").write.options(**options).orc(where)
 
@@ -111,6 +113,7 @@ def positions(rows: DataFrame) -> DataFrame:
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = totals.select(F.col("part").alias("__part"), before.alias("base"))
-    bases = F.broadcast(bases) if len(rows.inputFiles()) <= MOST_PARTS else bases
+    bases = cut(bases, "file-starts")
+    bases = F.broadcast(bases) if bases.count() <= MOST_PARTS else bases
     found = arrow_map(rows.select("doc_id", "part", "start_in_part", "ids"), summed, f"doc_id {kind}, part int, start_in_part long, n_tokens long, ids_crc32 long")
     return found.join(bases, F.col("part") == F.col("__part")).select("doc_id", (F.col("base") + F.col("start_in_part")).alias("start"), "n_tokens", "ids_crc32")

@@ -4,18 +4,19 @@ An item's windows are its runs of ``WINDOW`` words (or the whole item, if shorte
 contaminated where a window occurs word for word.  A window can only occur where each of its
 shingles (``SHINGLE`` words) occurs, so one necessary shingle per window suffices to find it:
 
-1. count the documents that hold each item shingle, which orders shingles by rarity; a window
-   with a shingle that no document holds cannot occur and goes;
-2. each window keeps its rarest shingle, the prefix, with its offset in the window;
-3. documents are joined with the prefixes by shingle hash; the window's place must lie inside the
-   document (length and positional bounds), and its words must be equal to those there.
+1. one pass over the documents keeps the places of item shingles, and the words around them, by a
+   broadcast join of their hashes; nothing else of a text is written;
+2. occurrences in these places order shingles by rarity; a window with a shingle that no document
+   holds cannot occur and goes, and each other keeps its rarest shingle, the prefix, with its
+   offset in the window;
+3. places are joined with the prefixes by shingle hash; the window must lie inside the document
+   (length and positional bounds), and its words must be equal to those there.
 
-Hashes only choose candidates; equality is decided on words.  While the shingles to look for are
-at most ``MOST_INLINE``, they are a set inside the scan; beyond that, documents' shingles are
-joined with them in a shuffle.  The ways may rank shingles differently, which changes candidates but no result.
+Hashes only choose candidates; equality is decided on words.  The broadcast holds ``MOST_BROADCAST``
+shingles; the items' shingles are dealt to as many blocks as that takes, with a pass for each.
 
 Defined cases: null or wordless texts have no words, windows or hits; items with a null item_id
-are dropped; equal rows (doc_id and text) are counted together and returned once each; a null
+are dropped; equal rows (doc_id and text) have equal results and are returned once each; a null
 doc_id stays null; other columns of ``docs`` and ``items`` are not looked at.
 """
 
@@ -24,13 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.shared import ascii_lower, cut, let
+from tessella.llm.shared import ascii_lower, cut, let, wrapped
 
 #: Between words, once A-Z are lower case.
 NO_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 WINDOW, SHINGLE = 10, 5
-#: Most shingles that become a set inside the scan, and most prefix rows that are broadcast.
-MOST_INLINE = 20_000
+#: Most shingles, prefix rows or contaminated documents that are broadcast: some 100 MB.
+MOST_BROADCAST = 1_000_000
 
 
 def item_words(text: Column) -> Column:
@@ -61,108 +62,83 @@ def _window_shingles(found: DataFrame) -> DataFrame:
     return found.select("words", "items", F.least(F.lit(SHINGLE), F.size("words")).alias("length"), F.posexplode(let(_word_hashes(F.col("words")), by_length)).alias("offset", "h"))
 
 
-def _inline(keys: DataFrame) -> list[tuple[int, int]] | None:
-    """The (length, hash) pairs of ``keys``, or None if they are more than :data:`MOST_INLINE`."""
-    got = keys.select("length", "h").distinct().limit(MOST_INLINE + 1).collect()
-    return None if len(got) > MOST_INLINE else [(r[0], r[1]) for r in got]
+#: Stands for a document's own row among its shingles.
+OWN = -1
 
 
-def _places(hashes: Column, inline: list[tuple[int, int]]) -> Column:
-    """Array of ``(h, p)`` of the document's shingles among ``inline``."""
+def _placed(docs: DataFrame, wanted: DataFrame, lengths: list[int]) -> DataFrame:
+    """Places of the shingles ``wanted`` (column ``h``), and one row of each document with ``p`` null if OWN is among them."""
 
-    def of(length: int) -> Column:
-        wanted = [h for n, h in inline if n == length]
-        tagged = F.transform(_shingles(hashes, length), lambda h, p: F.when(h.isin(wanted), F.struct(h.alias("h"), p.alias("p"))))
-        return F.filter(tagged, lambda x: x.isNotNull())
+    def tagged(hashes: Column) -> Column:
+        of = lambda n: F.transform(_shingles(hashes, n), lambda h, p: F.struct(h.alias("h"), p.alias("p")))
+        own = F.array(F.struct(F.lit(OWN).cast("long").alias("h"), F.lit(None).cast("int").alias("p")))
+        return F.concat(own, *(of(n) for n in lengths))
 
-    return F.concat(F.expr("cast(array() as array<struct<h:bigint,p:int>>)"), *(of(n) for n in sorted({n for n, _ in inline})))
+    both = lambda w: F.struct(w.alias("words"), let(_word_hashes(w), tagged).alias("s"))
+    one = docs.select("doc_id", F.xxhash64("text").alias("key"), let(item_words(F.col("text")), both).alias("d"))
+    each = one.select("doc_id", "key", F.col("d.words").alias("words"), F.explode("d.s").alias("s")).select("doc_id", "key", "words", "s.h", "s.p")
+    met = each.join(F.broadcast(wanted), "h")
+    # Words are cut from the text only where a shingle was met: enough for any window it is part of.
+    low = F.greatest(F.lit(0), F.col("p") - (WINDOW - 1))
+    near = F.when(F.col("p").isNotNull(), F.slice("words", low + 1, 2 * WINDOW))
+    return met.select("doc_id", "key", F.when(F.col("p").isNull(), F.size("words")).alias("n_words"), "h", "p", low.alias("from"), near.alias("near"))
 
 
-def _all_shingles(docs: DataFrame, lengths: list[int]) -> DataFrame:
-    """One row per document shingle: ``doc_id, key, length, p, h``."""
-    hashes = docs.select("doc_id", F.xxhash64("text").alias("key"), _word_hashes(item_words(F.col("text"))).alias("hashes"))
+def places(docs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Written rows ``doc_id, key, n_words, h, p, from, near``: each document's own (``p`` null), and its item shingles."""
+    keys = cut(shingles.select("h").distinct(), "shingles")
+    blocks = -(-keys.count() // MOST_BROADCAST) or 1
+    lengths = sorted(r[0] for r in shingles.select("length").distinct().collect())  # SHINGLE rows at most
+    own = docs.sparkSession.range(1).select(F.lit(OWN).cast("long").alias("h"))
+    found = None
+    for block in range(blocks):
+        wanted = keys if blocks == 1 else keys.where(F.pmod("h", F.lit(blocks)) == block)
+        wanted = wanted.where(F.col("h") != OWN).union(own) if block == 0 else wanted.where(F.col("h") != OWN)
+        part = _placed(docs, wanted, lengths)
+        found = part if found is None else found.union(part)
+    return cut(found, "places")
 
-    def of(length: int) -> Column:
-        return F.transform(_shingles(F.col("hashes"), length), lambda h, p: F.struct(F.lit(length).alias("length"), p.alias("p"), h.alias("h")))
 
-    every = F.concat(*(of(n) for n in lengths))
-    return hashes.select("doc_id", "key", F.explode(every).alias("s")).select("doc_id", "key", "s.*")
-
-
-def rarity(docs: DataFrame, shingles: DataFrame, inline: list[tuple[int, int]] | None) -> DataFrame:
-    """How often each shingle is held: ``h, holders`` (documents in the scan, occurrences in the shuffle)."""
-    if inline is not None:
-        held = docs.select(F.explode(let(_word_hashes(item_words(F.col("text"))), lambda w: F.array_distinct(F.transform(_places(w, inline), lambda x: x["h"])))).alias("h"))
-        return held.groupBy("h").agg(F.count("*").alias("holders"))
-    lengths = [r[0] for r in shingles.select("length").distinct().collect()]
-    wanted = shingles.select("length", "h").distinct()
-    return _all_shingles(docs, lengths).join(wanted, ["length", "h"]).groupBy("h").agg(F.count("*").alias("holders"))
-
-
-def prefixes(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The windows by their rarest shingle: ``h, length, windows`` of ``(offset, words, items)``."""
-    shingles = cut(_window_shingles(windows(items)), "windows")
-    counted = rarity(docs, shingles, _inline(shingles))
+def prefixes(held: DataFrame, shingles: DataFrame) -> DataFrame:
+    """The windows that may occur by their rarest shingle: ``h, windows`` of ``(offset, words, items)``."""
+    counted = held.where("p is not null").groupBy("h").agg(F.count("*").alias("holders"))
     ranked = shingles.join(counted, "h", "left")
-    chosen = ranked.groupBy("words", "items", "length").agg(F.min("holders").alias("rarest"), F.count("holders").alias("held"), F.count("*").alias("all"), F.min_by(F.struct("h", "offset"), F.struct("holders", "h", "offset")).alias("prefix"))
-    whole = chosen.where("held = all").select(F.col("prefix.h").alias("h"), "length", F.struct(F.col("prefix.offset").alias("offset"), "words", "items").alias("w"))
-    return cut(whole.groupBy("h", "length").agg(F.collect_list("w").alias("windows")), "prefixes")
-
-
-def _candidates(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One row per document and candidate place, or one without: ``doc_id, key, n_words, i, c``.
-
-    ``c`` is ``(h, p, from, near)``: the shingle, its place, and the words around from place
-    ``from`` on, wide enough for any window that the shingle is part of.
-    """
-    inline = _inline(wanted)
-
-    def near(words: Column, places: Column) -> Column:
-        low = lambda p: F.greatest(F.lit(0), p - (WINDOW - 1))
-        return F.transform(places, lambda x: F.struct(x["h"].alias("h"), x["p"].alias("p"), low(x["p"]).alias("from"), F.slice(words, low(x["p"]) + 1, 2 * WINDOW).alias("near")))
-
-    kept = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
-    if inline is not None:
-        one = lambda w: F.struct(F.size(w).alias("n_words"), near(w, let(_word_hashes(w), lambda h: _places(h, inline))).alias("c"))
-        rows = kept.select("doc_id", "key", let(item_words(F.col("text")), one).alias("d")).select("doc_id", "key", "d.n_words", "d.c")
-    else:
-        lengths = [r[0] for r in wanted.select("length").distinct().collect()]
-        hits = _all_shingles(docs, lengths).join(wanted.select("length", "h"), ["length", "h"]).groupBy("doc_id", "key").agg(F.collect_set(F.struct("h", "p")).alias("places"))
-        both = kept.join(hits.withColumnRenamed("doc_id", "__id").withColumnRenamed("key", "__key"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left")
-        one = lambda w: F.struct(F.size(w).alias("n_words"), F.when(F.col("places").isNotNull(), near(w, F.col("places"))).alias("c"))
-        rows = both.select("doc_id", "key", let(item_words(F.col("text")), one).alias("d")).select("doc_id", "key", "d.n_words", "d.c")
-    return rows.select("doc_id", "key", "n_words", F.posexplode_outer("c").alias("i", "c"))
+    chosen = ranked.groupBy("words", "items").agg(F.count("holders").alias("held"), F.count("*").alias("all"), F.min_by(F.struct("h", "offset"), F.struct("holders", "h", "offset")).alias("prefix"))
+    whole = chosen.where("held = all").select(F.col("prefix.h").alias("h"), F.struct(F.col("prefix.offset").alias("offset"), "words", "items").alias("w"))
+    return cut(whole.groupBy("h").agg(F.collect_list("w").alias("windows")), "prefixes")
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, key, n_words, hits, items``.
 
-    ``key`` is the text's hash, ``hits`` are the distinct ``(start, length)`` of occurring windows in words, sorted; ``items``
-    the sorted ids, as strings, of the items they belong to.
+    ``key`` is the text's hash, ``hits`` are the distinct ``(start, length)`` of occurring windows
+    in words, sorted; ``items`` the sorted ids, as strings, of the items they belong to.
     """
-    wanted = prefixes(docs, items)
-    small = wanted.select(F.col("h").alias("__h"), "windows")
-    small = F.broadcast(small) if wanted.count() <= MOST_INLINE else small
-    tried = _candidates(docs, wanted).join(small, F.col("c.h") == F.col("__h"), "left")
-    start = lambda w: F.col("c.p") - w["offset"]
-    inside = lambda w: (start(w) >= 0) & (start(w) + F.size(w["words"]) <= F.col("n_words"))
-    equal = lambda w: F.slice(F.col("c.near"), F.greatest(F.lit(1), start(w) - F.col("c.from") + 1), F.size(w["words"])) == w["words"]
-    found = F.transform(F.filter("windows", lambda w: inside(w) & equal(w)), lambda w: F.struct(start(w).alias("start"), F.size(w["words"]).alias("length"), w["items"].alias("items")))
-    per = (
-        tried.select("doc_id", "key", "n_words", (F.coalesce("i", F.lit(0)) == 0).cast("int").alias("first"), F.when(F.size(found) > 0, found).alias("found"))
-        .groupBy("doc_id", "key", "n_words")
-        .agg(F.sum("first").alias("copies"), F.flatten(F.collect_set("found")).alias("found"))
-    )
+    shingles = cut(_window_shingles(windows(items)), "windows")
+    held = places(docs, shingles)
+    wanted = prefixes(held, shingles)
+    wanted = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
+    tried = held.where("p is not null").drop("n_words").join(wanted, "h")
+    sizes = held.where("p is null").select("doc_id", "key", F.col("n_words").cast("long").alias("n_words"))
+    start = lambda w: F.col("p") - w["offset"]
+    # A window that ends beyond the text finds too few words there, so the words decide that bound too.
+    equal = lambda w: (start(w) >= 0) & (F.slice("near", F.greatest(F.lit(1), start(w) - F.col("from") + 1), F.size(w["words"])) == w["words"])
+    found = F.transform(F.filter("windows", equal), lambda w: F.struct(start(w).alias("start"), F.size(w["words"]).alias("length"), w["items"].alias("items")))
+    per = tried.select("doc_id", "key", found.alias("found")).where(F.size("found") > 0).groupBy("doc_id", "key").agg(F.flatten(F.collect_set("found")).alias("found"))
     spans = F.array_sort(F.array_distinct(F.transform("found", lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")))))
     named = F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda x: x["items"]))))
-    one = per.select("doc_id", "key", F.col("n_words").cast("long").alias("n_words"), "copies", spans.alias("hits"), named.alias("items"))
-    return one.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
+    hits = per.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), spans.alias("hits"), named.alias("items"))
+    done = sizes.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
+    none = lambda kind: F.expr(f"cast(array() as array<{kind}>)")
+    return done.select("doc_id", "key", "n_words", F.coalesce("hits", none("struct<start:int,length:int>")).alias("hits"), F.coalesce("items", none("string")).alias("items"))
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit."""
-    hit = contamination(docs, items).where(F.size("hits") > 0).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
-    return docs.join(cut(hit, "contaminated"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
+    hit = cut(contamination(docs, items).where(F.size("hits") > 0).select("doc_id", "key").distinct(), "contaminated")
+    hit = F.broadcast(hit) if hit.count() <= MOST_BROADCAST else hit
+    rows = wrapped(docs, id=F.col("doc_id"), hash=F.xxhash64("text"))
+    return rows.join(hit, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("key")), "left_anti").select("row.*")
 
 
 def hit_words(hits: Column) -> Column:

@@ -38,6 +38,8 @@ from tessella.llm.shared import cut, join_hot, wrapped
 
 SHINGLE, SEED = 3, 42
 MOST_MEMBERS = 64
+#: Most rows to drop that are broadcast: some 100 MB.
+MOST_BROADCAST = 1_000_000
 HASHES_AT_ONCE = 65_536
 
 
@@ -184,12 +186,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
     by_fp = found.groupBy("fp").agg(first)
     roots = _classes(found).select("fp", "root")
-    keep = cut(by_fp.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.key"), "keep")
-    again = found.join(keep.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi").groupBy("doc_id", "key").count().where("count > 1")
-    again = cut(again.select("doc_id", "key"), "repeated")
+    keep = by_fp.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
+    counted = found.groupBy("doc_id", "key").count()
+    stays = F.col("_key").isNotNull()
+    judged = cut(counted.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left").where(~stays | (F.col("count") > 1)).select("doc_id", "key", stays.alias("stays")), "judged")
+    goes = F.broadcast(judged) if judged.count() <= MOST_BROADCAST else judged
+    again = judged.where("stays")
     rows = wrapped(docs, id=F.col("doc_id"), key=F.xxhash64("text"))
     met = lambda other: rows["id"].eqNullSafe(other["doc_id"]) & (rows["key"] == other["key"])
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["key"] == b["key"])
-    single = rows.join(keep.join(again, same(keep, again), "left_anti"), met(keep), "left_semi").select("row.*")
+    single = rows.join(goes, met(goes), "left_anti").select("row.*")
     several = rows.join(again, met(again), "left_semi").groupBy("id", "key").agg(F.first("row").alias("row")).select("row.*")
     return single.unionAll(several)

@@ -173,9 +173,9 @@ def test_redaction_merges_overlaps(spark):
 # -- decontamination
 
 
-@pytest.mark.parametrize("inline", [20_000, 2])
-def test_decontamination(spark, docs, none, monkeypatch, inline):
-    monkeypatch.setattr(decontaminate, "MOST_INLINE", inline)
+@pytest.mark.parametrize("most", [1_000_000, 20])
+def test_decontamination(spark, docs, none, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", most)
     items = [(0, ITEM), (1, "One"), (2, None), (3, ""), (4, "not there at all " + prose(50, 20)), (5, prose(5, 40)[:60]), (6, ITEM), (None, "one")]
     frame = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id int")
     hit = decontaminate.hit_words(F.col("hits"))

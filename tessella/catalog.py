@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,26 +11,12 @@ from tessella.operators import account, bounds, composite, detect, discover, ove
 from tessella.plans import area, tiles, views
 from tessella.plans import catalog as charts
 from tessella.plans.views import with_views
+from tessella.registry import ORACLE_SQL, QUERIES, query
+from tessella.catalog_sheets import fit_sql
 from tessella.sources import archives, png
+from tessella.sources.folders import cut
 from tessella.streaming import seams, traffic
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with its DuckDB statement if it has one."""
-
-    def add(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            ORACLE_SQL[function.__name__] = sql
-        return function
-
-    return add
-
-
 col, lit = F.col, F.lit
 
 # -- grid ------------------------------------------------------------------
@@ -286,9 +270,9 @@ def mask_sql(select: str, include=True, exclude=True, limits=True) -> str:
     return with_views(f", cells AS (SELECT ord, CAST(col AS INTEGER) AS col, CAST(row AS INTEGER) AS row, {' AND '.join(tests)} AS inside FROM sheets, range(16) AS a(col), range(16) AS b(row)) {select}", "sheets").replace(") , cells", "), cells", 1)
 
 
-@query(mask_sql("SELECT ord, col, row FROM cells WHERE inside AND ord < 20"))
+@query(mask_sql("SELECT ord, col, row FROM cells WHERE inside"))
 def mask_pixels(spark, sf_dir):
-    return _masked(spark, sf_dir).where("inside and ord < 20").select("ord", "col", "row")
+    return _masked(spark, sf_dir).where("inside").select("ord", "col", "row")
 
 
 @query(mask_sql("SELECT ord, count(*) FILTER (WHERE inside) AS pixels FROM cells GROUP BY ord"))
@@ -631,10 +615,10 @@ def paper_by_side(spark, sf_dir):
     return detect.paper_by_side(g).select("sheet", "side", "n", F.round("paper", 6).alias("paper"))
 
 
-BAND = "SELECT event_id % 25 AS band, event_id // 25 AS i, CAST(CASE WHEN event_id // 25 < 40 + event_id % 25 THEN 0.9 ELSE ((event_id * 13) % 28) / 100.0 END AS DOUBLE) AS fraction FROM events WHERE event_id // 25 < 200"
+BAND = "SELECT event_id % 25 AS band, event_id // 25 AS i, CAST(CASE WHEN event_id // 25 < 40 + event_id % 25 THEN 0.9 ELSE ((event_id * 13) % 28) / 100.0 END AS DOUBLE) AS fraction FROM events"
 
 
-@query(f"WITH p AS ({BAND}), w AS (SELECT band, i, avg(fraction) OVER (PARTITION BY band ORDER BY i ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING) AS near, median(fraction) OVER (PARTITION BY band ORDER BY i ROWS BETWEEN CURRENT ROW AND 29 FOLLOWING) AS ahead, count(*) OVER (PARTITION BY band ORDER BY i ROWS BETWEEN CURRENT ROW AND 29 FOLLOWING) AS n FROM p) SELECT band, min(i) AS depth FROM w WHERE near < 0.35 AND ahead < 0.3 AND n = 30 GROUP BY band")
+@query(f"WITH p AS ({BAND}), w AS (SELECT band, i, avg(fraction) OVER (PARTITION BY band ORDER BY i ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING) AS near, median(fraction) OVER (PARTITION BY band ORDER BY i ROWS BETWEEN CURRENT ROW AND 29 FOLLOWING) AS ahead, count(*) OVER (PARTITION BY band ORDER BY i ROWS BETWEEN CURRENT ROW AND 30 FOLLOWING) AS n FROM p) SELECT band, min(i) AS depth FROM w WHERE near < 0.35 AND ahead < 0.3 AND n = 31 GROUP BY band")
 def collar_onset(spark, sf_dir):
     i, band = F.floor(col("event_id") / 25).cast("long"), col("event_id") % 25
     p = views.table(spark, sf_dir, "events").select(band.alias("band"), i.alias("i"), F.when(i < 40 + band, 0.9).otherwise(((col("event_id") * 13) % 28) / 100.0).alias("fraction"))
@@ -685,7 +669,12 @@ def offset_vote(spark, sf_dir):
 # -- healing and resampling ------------------------------------------------------
 
 
-@query(with_views("SELECT w.vec_id AS sheet, w.px AS col, w.py AS row, s.c FROM chips w JOIN chips s ON s.vec_id = w.vec_id AND s.px = CASE WHEN w.px >= 1 AND w.px < 8 AND w.py >= 0 AND w.py < 7 THEN least(greatest(w.px, 3), 5) ELSE w.px END AND s.py = CASE WHEN w.px >= 1 AND w.px < 8 AND w.py >= 0 AND w.py < 7 THEN least(greatest(w.py, 2), 4) ELSE w.py END", "chips"))
+HEALED = """, place AS MATERIALIZED (SELECT vec_id, px, py, px >= 1 AND px < 8 AND py < 7 AS framed, c FROM chips),
+    wanted AS MATERIALIZED (SELECT vec_id, px, py, CASE WHEN framed THEN least(greatest(px, 3), 5) ELSE px END AS sx, CASE WHEN framed THEN least(greatest(py, 2), 4) ELSE py END AS sy FROM place)
+    SELECT w.vec_id AS sheet, w.px AS col, w.py AS row, s.c FROM wanted w JOIN place s ON s.vec_id = w.vec_id AND s.px = w.sx AND s.py = w.sy"""
+
+
+@query(with_views(HEALED, "chips").replace(") , place", "), place", 1))
 def heal_clamp(spark, sf_dir):
     p = views.chips(spark, sf_dir).select(col("vec_id").alias("sheet"), col("px").alias("col"), col("py").alias("row"), "c")
     frames = p.select("sheet").distinct().select("sheet", F.array(lit(1), lit(0), lit(8), lit(7)).alias("outer"), F.array(lit(3), lit(2), lit(6), lit(5)).alias("clean"))
@@ -787,10 +776,10 @@ def frame_rules(spark, sf_dir):
     return panel.select("sheet", col("a_first").alias("x0"), (col("b_last") + 1).alias("x1"))
 
 
-@query("SELECT '{' || string_agg('\"' || s_name || '\":' || s_nationkey, ',' ORDER BY s_name) || '}' AS manifest FROM supplier WHERE s_suppkey < 10")
+@query("SELECT s_nationkey AS folder, '{' || string_agg('\"' || s_name || '\":' || s_suppkey, ',' ORDER BY s_name) || '}' AS manifest FROM supplier GROUP BY s_nationkey")
 def sorted_manifest(spark, sf_dir):
-    s = views.table(spark, sf_dir, "supplier").where("s_suppkey < 10")
-    return archives.manifest_text(s, "s_name", "s_nationkey")
+    s = views.table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "folder")
+    return archives.manifest_text(s, "s_name", "s_suppkey", ["folder"])
 
 
 @query("SELECT p_partkey, regexp_full_match(zip, 'ENR_L\\d\\d\\.zip', 'i') AND false OR regexp_full_match(zip, 'DELUS\\d{1,2}\\.zip', 'i') AS low, regexp_full_match(zip, '.+_TAC\\.zip', 'i') AS tac FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'delus' || (p_partkey % 200) || '.zip' WHEN 1 THEN 'Chart_TAC.ZIP' ELSE 'ENR_L0' || (p_partkey % 10) || '.zip' END AS zip FROM part)")
@@ -803,31 +792,76 @@ def fetched_archives(spark, sf_dir):
 # -- kernels and streams, without a SQL form ----------------------------------------
 
 
-@query()
+def kernel_sql(size: int, side: int) -> str:
+    """Rows ``(i, p, w)``: weight of source pixel ``p`` in target pixel ``i``, bicubic after the Gaussian of a reduction below 2."""
+    from math import ceil, exp, floor, sqrt
+
+    step, a = size / side, resample.CUBIC_A
+    sigma = 0.5 * sqrt(step * step - 1)
+    reach = max(1, ceil(3 * sigma))
+    bell = {k: exp(-0.5 * (k / sigma) ** 2) for k in range(-reach, reach + 1)}
+    cubic = lambda d: (a + 2) * d**3 - (a + 3) * d**2 + 1 if d <= 1 else a * (d**3 - 5 * d**2 + 8 * d - 4) if d < 2 else 0.0
+    rows = []
+    for i in range(side):
+        at = (i + 0.5) * step - 0.5
+        weights = [0.0] * size
+        for p in range(floor(at) - 1, floor(at) + 3):
+            if 0 <= p < size:
+                for k, v in bell.items():
+                    weights[min(max(p + k, 0), size - 1)] += cubic(abs(at - p)) * v / sum(bell.values())
+        rows += [f"({i}, {p}, CAST({w!r} AS DOUBLE))" for p, w in enumerate(weights)]
+    return f"(VALUES {', '.join(rows)})"
+
+
+WARPED = f""", k(i, p, w) AS MATERIALIZED (SELECT * FROM {kernel_sql(8, 6)}), v AS MATERIALIZED (SELECT vec_id, px, py, CAST(c AS DOUBLE) * a / 255 AS c, a / CAST(255 AS DOUBLE) AS a FROM chips),
+    across AS MATERIALIZED (SELECT vec_id, i AS px, py, sum(w * c) AS c, sum(w * a) AS a FROM v JOIN k ON k.p = v.px GROUP BY vec_id, i, py),
+    done AS MATERIALIZED (SELECT vec_id, px, i AS py, greatest(sum(w * c), 0) AS c, greatest(sum(w * a), 0) AS a FROM across JOIN k ON k.p = across.py GROUP BY vec_id, px, i)
+    SELECT vec_id AS chip, CAST(px AS INTEGER) AS px, CAST(py AS INTEGER) AS py, CASE WHEN a > 0 THEN CAST(round_even(least(c / a, 255), 0) AS INTEGER) ELSE 0 END AS c, CAST(round_even(least(a, 1) * 255, 0) AS INTEGER) AS a FROM done"""
+
+
+@query(with_views(WARPED, "chips").replace(") , k(", "), k(", 1))
 def warp_kernel(spark, sf_dir):
     c = views.chips(spark, sf_dir).select(col("vec_id").alias("chip"), "px", "py", "c", "a")
-    return resample.warp_chips(c, 8, 0.5)
+    return resample.warp_chips(c, 8, 0.75)
 
 
-@query()
+#: 48 measurements along each of many sides, some of them wild, some sides bent, some without a collar.
+SIDE_POINTS = "SELECT event_id // 48 AS side, CAST(event_id % 48 * 100 AS DOUBLE) AS pos, CAST(CASE WHEN event_id // 48 % 5 = 4 THEN event_id % 3 ELSE 100 + (event_id * 7) % 40 + (event_id % 48) * (event_id // 48 % 9) + CASE WHEN event_id % 13 = 0 THEN 900 ELSE 0 END END AS DOUBLE) AS depth, 1 + CAST(event_id // 48 % 2 AS INTEGER) AS degree FROM events"
+
+
+@query(f"WITH {fit_sql(SIDE_POINTS, 'side', 'p')} SELECT side, round(a, 4) + 0 AS a, round(b, 4) + 0 AS b, round(c, 4) + 0 AS c, round(shift, 4) AS shift, lo, hi FROM p_fit")
 def collar_fit(spark, sf_dir):
-    s = views.table(spark, sf_dir, "supplier").select(col("s_nationkey").alias("side"), col("s_suppkey").cast("double").alias("pos"), (100 + (col("s_suppkey") * 7) % 40 + F.when(col("s_suppkey") % 26 == 0, 300).otherwise(0)).cast("double").alias("depth"))
-    return detect.fit_sides(s.withColumn("side", col("side") % 3), ["side"], 1).select("side", F.round("shift", 6).alias("shift"), "lo", "hi")
+    e, n = views.table(spark, sf_dir, "events"), col("event_id")
+    side = F.floor(n / 48)
+    depth = F.when(side % 5 == 4, n % 3).otherwise(100 + (n * 7) % 40 + n % 48 * (side % 9) + F.when(n % 13 == 0, 900).otherwise(0))
+    points = e.select(side.alias("side"), (n % 48 * 100).alias("pos"), depth.alias("depth"), (1 + side % 2).cast("int").alias("degree"))
+    fits = detect.fit_sides(points, ["side"], col("degree"))
+    return fits.select("side", *((F.round(c, 4) + 0.0).alias(c) for c in ("a", "b", "c", "shift")), "lo", "hi")
 
 
-@query()
+@query(with_views("SELECT z, x, y, px, py, c AS r, c AS g, c AS b, a FROM chips", "chips"))
 def png_encode(spark, sf_dir):
+    """The pixels that come back from the encoded tiles."""
     packed = png.pack_chips(views.chips(spark, sf_dir), 8)
-    return png.encode(packed, 8).select("z", "x", "y", "nbytes", F.sha2("png", 256).alias("sha256"))
+    return png.unpacked(png.decode(png.encode(packed, 8)), 8)
+
+
+STACKED = """, layers AS MATERIALIZED (SELECT vec_id, x // 2 AS x, y // 2 AS y, px, py, CAST(c AS DOUBLE) AS c, a / CAST(255 AS DOUBLE) AS a FROM chips),
+    under AS MATERIALIZED (SELECT *, coalesce(product(1 - a) OVER (PARTITION BY x, y, px, py ORDER BY vec_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS t FROM layers),
+    done AS MATERIALIZED (SELECT x, y, px, py, sum(t * a * c) AS pc, sum(t * a) AS pa FROM under GROUP BY x, y, px, py),
+    bytes AS MATERIALIZED (SELECT x, y, px, py, CASE WHEN pa > 0 THEN CAST(round_even(least(pc / pa, 255), 0) AS INTEGER) ELSE 0 END AS c, CAST(round_even(least(pa, 1) * 255, 0) AS INTEGER) AS a FROM done)
+    SELECT 7 AS z, x // 2 AS x, y // 2 AS y, CAST((x % 2 * 8 + px) // 2 AS INTEGER) AS px, CAST((y % 2 * 8 + py) // 2 AS INTEGER) AS py,
+        CASE WHEN sum(a) > 0 THEN CAST(round_even(CAST(sum(c * a) AS DOUBLE) / sum(a), 0) AS INTEGER) ELSE 0 END AS c, CAST(round_even(sum(a) / CAST(4 AS DOUBLE), 0) AS INTEGER) AS a
+    FROM bytes GROUP BY 2, 3, 4, 5 HAVING round_even(sum(a) / CAST(4 AS DOUBLE), 0) > 0"""
 
 
-@query()
+@query(with_views(STACKED, "chips").replace(") , layers", "), layers", 1))
 def packed_tiles(spark, sf_dir):
     """Packed chips stacked four deep, composited and halved by the worker kernels."""
     c = views.chips(spark, sf_dir).withColumn("x", F.floor(col("x") / 2)).withColumn("y", F.floor(col("y") / 2))
     packed = png.pack_chips(c, 8, ["vec_id"]).withColumnRenamed("vec_id", "ord")
-    done = composite.composite_packed(packed, 8)
-    return overview.halve_packed(done, 8).select("z", "x", "y", F.sha2("rgba", 256).alias("sha256"))
+    halved = png.unpacked(overview.halve_packed(composite.composite_packed(packed, 8), 8), 8)
+    return halved.where("a > 0").select("z", "x", "y", "px", "py", col("r").alias("c"), "a")
 
 
 @query(planned_sql("SELECT z, x, y, round(pc, 6) AS pc, round(pa, 6) AS pa, n FROM (SELECT z, x, y, sum(t * a * c) AS pc, sum(t * a) AS pa, CAST(count(*) AS INTEGER) AS n FROM (SELECT *, coalesce(product(1 - a) OVER (PARTITION BY x, y ORDER BY ord DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS t FROM plan) GROUP BY z, x, y)", z=4))
@@ -846,9 +880,10 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plan, composite, finish and average down to the whole world, tile counts and mean colour by zoom."""
     level = composite.finish(composite.composite(_planned(spark, sf_dir), KEYS, ["c"]), KEYS, ["c"]).where("a > 0").withColumn("px", lit(0)).withColumn("py", lit(0))
     summed = lambda df: df.groupBy("z").agg(F.count("*").alias("tiles"), F.sum("c").alias("c"), F.sum("a").alias("a"))
+    level = cut(level, "level")
     found = summed(level)
     for _ in range(2):
-        level = overview.halve(level, 1, ("c",))
+        level = cut(overview.halve(level, 1, ("c",)), "level")
         found = found.union(summed(level))
     return found
 

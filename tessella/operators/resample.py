@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.functions.workers import ship
+from tessella.functions.workers import arrow_map
 
 #: The bicubic kernel's parameter, the block and overlap of model upsampling.
 CUBIC_A, BLOCK, OVERLAP = -0.75, 256, 16
@@ -163,21 +163,58 @@ def model_of(kernel: str) -> Callable[[np.ndarray], np.ndarray]:
     return doubled
 
 
+def scale_matrix(size: int, side: int, kernel: str) -> np.ndarray:
+    """Weights (side by size) of a line's pixels when ``size`` of them are warped to ``side`` on an even grid.
+
+    Boxes, Gaussian and kernel are all linear along a line, so what they do to unit lines is the matrix.
+    """
+    units = np.eye(size)[:, None, :].repeat(4, axis=1)[..., None].repeat(3, axis=3)  # lines as images four rows high
+    step = size / side
+    factor = 1 if step < 2 else 2 ** int(np.floor(np.log2(step)))
+    at = (np.arange(side) + 0.5) * step
+    out = np.zeros((side, size))
+    for k, image in enumerate(units):
+        padded = np.zeros((4, -(-size // factor) * factor, 3))
+        padded[:, :size] = image
+        small = padded.reshape(4, -1, factor, 3).mean(axis=2)
+        smooth = prefilter(small, step / factor)
+        x = at / factor - 0.5
+        x0 = np.floor(x).astype(int)
+        weights, shift = _weights(x - x0, kernel)
+        for j, w in enumerate(weights):
+            c = x0 + shift + j
+            inside = (c >= 0) & (c < smooth.shape[1])
+            out[:, k] += np.where(inside, w * smooth[1, np.clip(c, 0, smooth.shape[1] - 1), 0], 0.0)
+    return out
+
+
 def warp_chips(chips: DataFrame, size: int, scale: float, kernel: str = "bicubic") -> DataFrame:
-    """Each group ``chip`` of ``size`` by ``size`` gray pixels (px, py, c, a) resampled to ``scale`` times its side."""
-    side = int(round(size * scale))
-    name = kernel_of(kernel)
+    """Each group ``chip`` of ``size`` by ``size`` gray pixels (px, py, c, a) resampled to ``scale`` times its side.
 
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        image = np.zeros((size, size, 4))
-        image[frame["py"], frame["px"], :3] = frame["c"].to_numpy()[:, None]
-        image[frame["py"], frame["px"], 3] = frame["a"]
-        cols, rows = np.meshgrid((np.arange(side) + 0.5) * size / side, (np.arange(side) + 0.5) * size / side)
-        done = warp(image, cols, rows, name)
-        alpha = done[..., 3]
-        colour = np.where(alpha > 0, np.rint(np.clip(done[..., 0] / np.where(alpha > 0, alpha, 1), 0, 255)), 0)
-        py, px = np.mgrid[:side, :side]
-        return pd.DataFrame({"chip": frame["chip"].iloc[0], "px": px.ravel(), "py": py.ravel(), "c": colour.ravel().astype(int), "a": np.rint(np.clip(alpha, 0, 1) * 255).ravel().astype(int)})
-
-    ship(chips.sparkSession)
-    return chips.select("chip", "px", "py", "c", "a").groupBy("chip").applyInPandas(one, "chip long, px int, py int, c int, a int")
+    The grid is even, so a chip is a product with one matrix from either side; chips are packed, and
+    an Arrow batch of them is one product.  A missing pixel is transparent.
+    """
+    side = int(round(size * scale))
+    weights = scale_matrix(size, side, kernel_of(kernel))
+    cell = F.struct((F.col("py") * size + F.col("px")).cast("int").alias("at"), F.col("c").cast("int").alias("c"), F.col("a").cast("int").alias("a"))
+    packed = chips.groupBy("chip").agg(F.collect_list(cell).alias("cells"))  # size * size at most
+
+    def warped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("cells")
+            cells = lists.flatten()
+            at, c, a = (cells.field(k).to_numpy().astype(float) for k in range(3))
+            chip = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            planes = np.zeros((len(lists), 2, size * size))
+            planes[chip, 0, at.astype(int)], planes[chip, 1, at.astype(int)] = c * a / 255, a / 255
+            done = np.maximum(weights @ planes.reshape(-1, 2, size, size) @ weights.T, 0).reshape(-1, 2, side * side)
+            alpha = done[:, 1]
+            colour = np.where(alpha > 0, np.rint(np.clip(done[:, 0] / np.where(alpha > 0, alpha, 1), 0, 255)), 0)
+            offsets = pa.array(np.arange(len(lists) + 1) * side * side, pa.int32())
+            whole = lambda v: pa.ListArray.from_arrays(offsets, pa.array(v.ravel().astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("chip"), whole(colour), whole(np.rint(np.clip(alpha, 0, 1) * 255))], ["chip", "c", "a"])
+
+    kind = chips.schema["chip"].dataType.simpleString()
+    rows = arrow_map(packed, warped, f"chip {kind}, c array<int>, a array<int>")
+    each = rows.select("chip", F.posexplode(F.arrays_zip("c", "a")).alias("at", "v"))
+    return each.select("chip", (F.col("at") % side).cast("int").alias("px"), F.floor(F.col("at") / side).cast("int").alias("py"), "v.c", "v.a")

@@ -52,7 +52,10 @@ def frames(spark: SparkSession, path: str, scale: float = 1.0) -> DataFrame:
     return whole.select("sheet", scaled(F.col("e.frame.outer")).alias("outer"), scaled(F.col("e.frame.clean")).alias("clean"), F.coalesce("e.manual", F.lit(False)).alias("manual"))
 
 
-def manifest_text(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """One row: a manifest with its sheets in order of name, as JSON."""
+def manifest_text(rows: DataFrame, key: str, value: str, by: list[str] | None = None) -> DataFrame:
+    """One row for each group ``by`` (a folder of sheets): a manifest with its sheets in order of name, as JSON.
+
+    A manifest is one file, so a group is bounded by what a file holds.
+    """
     entries = F.array_sort(F.collect_list(F.struct(F.col(key), F.col(value))))
-    return rows.agg(F.to_json(F.map_from_entries(entries)).alias("manifest"))
+    return rows.groupBy(*(by or [])).agg(F.to_json(F.map_from_entries(entries)).alias("manifest"))

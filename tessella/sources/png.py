@@ -80,6 +80,13 @@ def pack_chips(pixels: DataFrame, size: int, extra: list[str] | None = None) ->
     return pixels.groupBy(*keys).agg(F.unhex(joined).alias("rgba"))
 
 
+def unpacked(tiles: DataFrame, size: int) -> DataFrame:
+    """Packed tiles ``z, x, y, rgba`` to one row a pixel: ``z, x, y, px, py, r, g, b, a``."""
+    each = tiles.withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(size * size - 1))))
+    band = lambda k: F.conv(F.hex(F.substring(F.col("rgba"), F.col("_at") * 4 + k + 1, F.lit(1))), 16, 10).cast("int")
+    return each.select("z", "x", "y", (F.col("_at") % size).cast("int").alias("px"), F.floor(F.col("_at") / size).cast("int").alias("py"), *(band(k).alias(c) for k, c in enumerate("rgba")))
+
+
 def encode(tiles: DataFrame, size: int) -> DataFrame:
     """Packed tiles ``z, x, y, rgba`` to ``z, x, y, nbytes, png``."""
 

@@ -6,7 +6,7 @@ import os
 import shutil
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -80,18 +80,35 @@ class Header:
 
 def header(data: bytes) -> Header:
     """The first directory's tags."""
-    order = {b"II": "<", b"MM": ">"}.get(data[:2])
-    if order is None or struct.unpack(f"{order}H", data[2:4])[0] != 42:
+    return _directory(lambda at, n: data[at : at + n])
+
+
+def read_header(path: str) -> Header:
+    """The first directory's tags of a file, of which nothing else is read."""
+    with open(path, "rb") as f:
+
+        def part(at: int, n: int) -> bytes:
+            f.seek(at)
+            return f.read(n)
+
+        return _directory(part)
+
+
+def _directory(part: Callable[[int, int], bytes]) -> Header:
+    """The first directory by a function that gives ``n`` bytes from ``at`` on."""
+    start = part(0, 8)
+    order = {b"II": "<", b"MM": ">"}.get(start[:2])
+    if order is None or len(start) < 8 or struct.unpack(f"{order}H", start[2:4])[0] != 42:
         raise ValueError("not a TIFF")
-    (at,) = struct.unpack(f"{order}I", data[4:8])
+    (at,) = struct.unpack(f"{order}I", start[4:8])
     found = Header(order, at)
-    (n,) = struct.unpack(f"{order}H", data[at : at + 2])
+    (n,) = struct.unpack(f"{order}H", part(at, 2))
+    entries = part(at + 2, 12 * n)
     for i in range(n):
-        entry = data[at + 2 + 12 * i : at + 14 + 12 * i]
+        entry = entries[12 * i : 12 * i + 12]
         tag, kind, count = struct.unpack(f"{order}HHI", entry[:8])
         size = SIZES.get(kind, 1) * count
-        where = struct.unpack(f"{order}I", entry[8:])[0]
-        found.tags[tag] = (kind, count, entry[8 : 8 + size] if size <= 4 else data[where : where + size])
+        found.tags[tag] = (kind, count, entry[8 : 8 + size] if size <= 4 else part(struct.unpack(f"{order}I", entry[8:])[0], size))
     return found
 
 
@@ -154,26 +171,23 @@ def written(image: np.ndarray, geotransform: list[float] | None = None, epsg: in
 
 def copy_georeference(reference: str, image: str, output: str, *, overwrite: bool = False, strict_size: bool = True, copy_nodata: bool = False) -> str:
     """``image`` with the georeference of ``reference``: pixels byte for byte, a new directory behind them."""
-    for label, path in (("reference", reference), ("image", image)):
+    for path in (reference, image):
         if not os.path.isfile(path):
-            raise FileNotFoundError(f"{label} file not found: {path}")
-    if os.path.exists(output):
-        if not overwrite:
-            raise FileExistsError(f"output already exists: {output}")
-        if any(os.path.samefile(output, p) for p in (reference, image)):
-            raise ValueError("the output must differ from both inputs")
-    with open(reference, "rb") as f:
-        source = header(f.read())
+            raise FileNotFoundError(path)
+    there = os.path.exists(output)
+    if there and (os.path.samefile(output, reference) or os.path.samefile(output, image)):
+        raise ValueError("an input can't be the output")
+    if there and not overwrite:
+        raise FileExistsError(output)
+    source = read_header(reference)
     if not source.is_georeferenced:
         raise GeoReferenceError(f"no usable georeference: {reference}")
-    with open(image, "rb") as f:
-        data = f.read()
     try:
-        target = header(data)
+        target = read_header(image)
     except ValueError as e:
-        raise GeoReferenceError(f"the image must be a TIFF: {image}") from e
+        raise GeoReferenceError(f"no TIFF: {image}") from e
     if strict_size and (source.width, source.height) != (target.width, target.height):
-        raise ValueError(f"sizes differ: reference {source.width}x{source.height}, image {target.width}x{target.height}")
+        raise ValueError(f"sizes differ: {source.width} by {source.height} and {target.width} by {target.height} pixels")
     tags = {t: v for t, v in target.tags.items() if t not in GEO_TAGS}
     for tag in (*GEO_TAGS, *([NODATA] if copy_nodata else [])):
         if tag in source.tags:
@@ -186,15 +200,15 @@ def copy_georeference(reference: str, image: str, output: str, *, overwrite: boo
     part = f"{output}.part"
     shutil.copyfile(image, part)
     try:
-        at = len(data) + len(data) % 2
+        size = os.path.getsize(part)
+        at = size + size % 2
         with open(part, "r+b") as f:
-            f.seek(len(data))
-            f.write(b"\0" * (len(data) % 2) + _entries(tags, target.order, at))
+            f.seek(size)
+            f.write(b"\0" * (size % 2) + _entries(tags, target.order, at))
             f.seek(4)
             f.write(struct.pack(f"{target.order}I", at))
-        with open(part, "rb") as f:
-            if not header(f.read()).is_georeferenced:
-                raise GeoReferenceError(f"the georeference did not stick: {output}")
+        if not read_header(part).is_georeferenced:
+            raise GeoReferenceError(f"no georeference in what was written: {output}")
         os.replace(part, output)
     finally:
         if os.path.exists(part):

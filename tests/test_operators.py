@@ -96,26 +96,67 @@ def test_fit_sides_ignores_outliers(spark):
     depth[::7] += 900
     df = spark.createDataFrame([("w", float(p), float(d)) for p, d in zip(pos, depth, strict=True)], "side string, pos double, depth double")
     row = detect.fit_sides(df, ["side"], 1).first()
-    assert row.coef[0] == pytest.approx(0.05) and row.shift == pytest.approx(24)
+    at = lambda p: row.a + (p - row.centre) / row.half * row.b
+    assert at(0) == pytest.approx(200) and at(1000) == pytest.approx(250) and row.c == 0 and row.shift == pytest.approx(24)
+    assert (row.lo, row.hi) == (100, 4700)
 
 
-def test_neatline_shrinks_to_the_map():
-    image = np.full((400, 500, 3), 255, np.uint8)
-    rng = np.random.default_rng(3)
-    image[40:360, 50:450] = rng.integers(0, 255, (320, 400, 3))
-    assert detect.neatline(image) == (50, 40, 450, 360)
-    with pytest.raises(ValueError, match="coloured"):
-        detect.neatline(np.full((50, 50, 3), 255, np.uint8))
+def test_sides_without_a_fit_give_no_row(spark):
+    sides = {"few": [100.0] * 7, "no collar": [3.0] * 48, "wild": [100.0] * 5 + [1e6, 2e6, 3e6, 4e6], "arc": [100 + 0.01 * (i - 20) ** 2 for i in range(48)]}
+    df = spark.createDataFrame([(s, float(i), d) for s, v in sides.items() for i, d in enumerate(v)], "side string, pos double, depth double")
+    found = {r.side: r for r in detect.fit_sides(df, ["side"], 2).collect()}
+    assert set(found) == {"arc"}
+    exact = np.polyfit((np.arange(48) - found["arc"].centre) / found["arc"].half, sides["arc"], 2)
+    assert [found["arc"].c, found["arc"].b, found["arc"].a] == pytest.approx(exact)
+
 
+def sheet(spark, image):
+    height, width = image.shape[:2]
+    rows = [("s", c, r, *map(int, image[r, c])) for r in range(height) for c in range(width)]
+    return spark.createDataFrame(rows, "sheet string, col int, row int, r int, g int, b int")
 
-def test_shift_and_fine_offset(spark):
+
+def test_neatline_shrinks_to_the_map(spark):
+    image = np.full((60, 70, 3), 255, np.uint8)
+    rng = np.random.default_rng(3)
+    image[10:50, 12:60] = rng.integers(0, 255, (40, 48, 3))
+    image[10:14, 12:60] = 20  # the neatline
+    row = detect.neatlines(sheet(spark, image), 10, 2).first()
+    assert (row.left, row.top, row.right, row.bottom, row.settled) == (12, 14, 60, 50, True)
+    assert detect.neatlines(sheet(spark, np.full((20, 20, 3), 255, np.uint8)), 10, 2).count() == 0
+
+
+def test_sectional_area_follows_its_collars(spark):
+    """A collar of 80 to 120 pixels in the west, 60 in the north, none elsewhere."""
+    rows, cols = 240, 240
+    cells = spark.range(rows * cols).select(F.lit("s").alias("sheet"), (F.col("id") % cols).cast("int").alias("col"), F.floor(F.col("id") / cols).cast("int").alias("row"))
+    paper = (F.col("col") < 20 + F.col("row") / 24) | (F.col("row") < 15)
+    cells = cells.select("*", F.lit(cols).alias("cols"), F.lit(rows).alias("rows"), paper.alias("paper"))
+    sheets = spark.createDataFrame([("s", 960, 960, None), ("t", 500, 400, None)], "sheet string, width int, height int, open_sides array<string>")
+    fits = detect.sectional_fits(detect.collar_depths(cells, 12, 60), sheets)
+    found = {r.sheet: r for r in detect.sectional_areas(fits).collect()}
+    ring = [(p.x, p.y) for p in found["s"].ring]
+    assert min(x for x, _ in ring) == pytest.approx(80 + 24 - 8, abs=12) and min(y for _, y in ring) == pytest.approx(60 + 24 - 8, abs=12)
+    assert max(x for x, _ in ring) == 920 and max(y for _, y in ring) == 920 and "west" in found["s"].notes
+    low = [x for x, y in ring if y > 900 and x < 300]
+    assert min(low) > 115, "the west side slants"
+    assert {(p.x, p.y) for p in found["t"].ring} >= {(40.0, 40.0), (460.0, 360.0)}
+    shares = {r.side: r for r in detect.paper_inside(cells, fits).collect()}
+    assert shares["north"].paper == 0 and not shares["west"].flagged
+
+
+def test_shift_and_probe_offsets(spark):
     rng = np.random.default_rng(4)
     profile = rng.integers(0, 50, 60).tolist()
     page = spark.createDataFrame([(0, i, v) for i, v in enumerate(profile)], "g int, i long, total long")
     sheet = spark.createDataFrame([(0, i, v) for i, v in enumerate(profile[13:40])], "g int, i long, total long")
     assert register.best_shift(page, sheet, ["g"]).first().s == 13
     rendered = rng.integers(0, 2, (40, 40)).astype(bool)
-    assert register.fine_offset(rendered[4 + 3 : 36 + 3, 4 - 2 : 36 - 2], rendered, 4)[:2] == (-2, 3)
+    own = rendered[4 + 3 : 36 + 3, 4 - 2 : 36 - 2]
+    assert register._correlated(own.astype(float), rendered.astype(float), 4)[:2] == (-2, 3)
+    ink = [("s", 0, page, int(x), int(y)) for page, image in ((False, own), (True, rendered)) for y, x in np.argwhere(image)] + [("s", 1, False, 0, 0)]
+    found = register.probe_offsets(spark.createDataFrame(ink, "sheet string, probe int, page boolean, x int, y int"), 32, 4, 20).collect()
+    assert [(r.probe, r.dx, r.dy) for r in found] == [(0, -2, 3)] and found[0].score == pytest.approx(1)
 
 
 def test_heal_is_columns_then_rows(spark):

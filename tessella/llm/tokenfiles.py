@@ -6,7 +6,7 @@ token ids with the end id last, which ORC keeps as run-length encoded integers.
 Bloom filter on ``doc_id`` let a reader skip stripes and row groups by metadata alone, and stripes
 are independent splits for readers.
 
-Rows with equal doc_id lie together, ordered by their text's hash, and each keeps its ids; a null doc_id sorts
+Rows with equal doc_id lie together, in any order, and each keeps its ids; a null doc_id sorts
 first; null text is empty, so it has the end id only; other columns are not written.  An empty
 table gives files without rows.
 """
@@ -66,8 +66,8 @@ def write(docs: DataFrame, where: str, path: str, end_id: int = 2, stripe_bytes:
                 at += ends[-1]
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    # Rows of a null or repeated id, and equal rows besides, are dealt to several files too.
-    ordered = rows.withColumn("key", F.xxhash64("text")).repartitionByRange("doc_id", "key", F.monotonically_increasing_id()).sortWithinPartitions("doc_id", "key").drop("key")
+    # Rows of a null or repeated id are dealt to several files too.
+    ordered = rows.repartitionByRange("doc_id", F.monotonically_increasing_id()).sortWithinPartitions("doc_id")
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": str(row_index), "orc.stripe.size": str(stripe_bytes), "compression": "zstd"}
     arrow_map(ordered, encoded, f"doc_id {kind}, {SCHEMA}").write.options(**options).orc(where)
 

@@ -270,34 +270,48 @@ def positions(at: DataFrame) -> DataFrame:
     return ranked.select("key", "position", "cyclic").union(placed.where("cyclic").select("key", F.lit(None).cast("long"), "cyclic"))
 
 
+def links(heads: DataFrame) -> DataFrame:
+    """What each event is linked to: ``key, occurrence, status, position, cyclic, result_turn, n_results, copies, target``.
+
+    ``target`` is the call that a result is the first one of.  Nothing of the events' content takes part.
+    """
+    at = cut(numbered(heads), "occurrences")
+    copies = heads.select(F.col("key").alias("_copied"), "copies")
+    calls = at.where("seq = 1").select("key", "conv_id", "call_id", (F.col("before") + 1).alias("occurrence")).join(positions(at), "key")
+    results = at.where("seq = 2").join(copies, F.col("key") == F.col("_copied")).select("key", "conv_id", "call_id", "turn", "place", F.col("before").alias("occurrence"), "copies")
+    first = results.where("occurrence > 0").groupBy("conv_id", "call_id", "occurrence").agg(F.min(F.struct("turn", "place", "key")).alias("first"), F.sum("copies").alias("n_results"))
+    first = first.select(F.col("conv_id").alias("_conv"), F.col("call_id").alias("_call"), F.col("occurrence").alias("_number"), "first", "n_results")
+    met = calls.join(first, _same("_conv", "_call", F.col("occurrence") == F.col("_number")), "left").join(copies, F.col("key") == F.col("_copied"))
+    of_calls = met.select("key", "occurrence", F.when(F.col("first").isNull(), "unanswered").otherwise("linked").alias("status"), "position", "cyclic", F.col("first.turn").alias("result_turn"), F.coalesce("n_results", F.lit(0)).alias("n_results"), "copies", F.col("first.key").alias("target"))
+    of_calls = cut(of_calls, "call-links")
+    answers = of_calls.where("target is not null").select(F.col("target").alias("_answer"), F.col("key").alias("_target"))
+    named = at.where("seq = 1 and before = 0").select(F.col("conv_id").alias("_conv"), F.col("call_id").alias("_call"))
+    status = F.when(F.col("_target").isNotNull(), "answer").when(F.col("_call").isNull(), "orphan").when(F.col("occurrence") == 0, "early").otherwise("repeated")
+    placed = results.join(answers, F.col("key") == F.col("_answer"), "left").join(named, _same("_conv", "_call"), "left")
+    of_results = placed.select("key", "occurrence", status.alias("status"), F.lit(None).cast("long").alias("position"), F.lit(False).alias("cyclic"), F.col("turn").alias("result_turn"), F.lit(0).cast("long").alias("n_results"), "copies", F.col("_target").alias("target"))
+    return cut(of_calls.withColumn("target", F.lit(None).cast("binary")).unionByName(of_results), "links")
+
+
 def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per call, and one per result that is no call's first.
 
     ``status`` of a call is linked or unanswered; of a further result repeated (its call has an
     earlier one), early (it stands before the first call of its id) or orphan (no call has its
     id).  ``occurrence`` numbers the calls of an id from 1; ``n_results`` counts a call's results.
+
+    Messages are parsed twice: for the links, which are made of ids alone, and for the contents, which
+    move once to their links and, if they are results, once more to their calls.
     """
-    content = ("conv_id", "turn", "place", "kind", "call_id", "name", "arguments", "depends_on", "errors", "content")
-    once = events(messages, schemas).groupBy("key").agg(*(F.first(c).alias(c) for c in content), F.count("*").alias("copies"))
-    found = cut(once, "events")
-    at = cut(numbered(found), "occurrences")
-    calls = found.where("kind = 'call'").join(at.where("seq = 1").select("key", (F.col("before") + 1).alias("occurrence")), "key").join(positions(at), "key")
-    results = cut(found.where("kind = 'result'").join(at.where("seq = 2").select("key", F.col("before").alias("occurrence")), "key"), "results")
-    first = results.where("occurrence > 0").groupBy("conv_id", "call_id", "occurrence").agg(F.min(F.struct("turn", "place", "key", "content")).alias("first"), F.sum("copies").alias("n_results"))
-    first = first.select(F.col("conv_id").alias("_conv"), F.col("call_id").alias("_call"), F.col("occurrence").alias("_number"), "first", "n_results")
-    answered = F.col("first").isNotNull()
-    linked = calls.join(first, _same("_conv", "_call", F.col("occurrence") == F.col("_number")), "left").select(
-        "conv_id", "call_id", "occurrence", F.when(answered, "linked").otherwise("unanswered").alias("status"), "name", "turn", "place", F.col("first.turn").alias("result_turn"), "position", "cyclic", F.coalesce("n_results", F.lit(0)).alias("n_results"), "copies", (F.col("errors") == "").alias("valid"), "errors", _written_call(F.col("first.content")).alias("canonical")
-    )
-    heads = first.select("_conv", "_call", "_number", F.col("first.key").alias("_first"))
-    others = results.join(heads, _same("_conv", "_call", F.col("occurrence") == F.col("_number")), "left").where("_first is null or _first <> key").drop("_conv", "_call", "_number", "_first")
-    named = at.where("seq = 1 and before = 0").select(F.col("conv_id").alias("_conv"), F.col("call_id").alias("_call"))
-    status = F.when(F.col("_call").isNull(), "orphan").when(F.col("occurrence") == 0, "early").otherwise("repeated")
-    nothing = lambda kind: F.lit(None).cast(kind)
-    rest = others.join(named, _same("_conv", "_call"), "left").select(
-        "conv_id", "call_id", "occurrence", status.alias("status"), nothing("string").alias("name"), "turn", "place", F.col("turn").alias("result_turn"), nothing("long").alias("position"), F.lit(False).alias("cyclic"), F.lit(0).cast("long").alias("n_results"), "copies", nothing("boolean").alias("valid"), nothing("string").alias("errors"), _written_call(F.col("content")).alias("canonical")
-    )
-    return linked.unionByName(rest)
+    parsed = events(messages, schemas)
+    first = lambda *names: (F.first(c).alias(c) for c in names)
+    heads = cut(parsed.groupBy("key").agg(*first("conv_id", "turn", "place", "kind", "call_id", "depends_on"), F.count("*").alias("copies")), "events", "zstd")
+    whole = parsed.groupBy("key").agg(*first("conv_id", "turn", "place", "call_id", "name", "arguments", "errors", "content")).join(links(heads), "key")
+    answers = whole.where("status = 'answer'").select(F.col("target").alias("_target"), F.col("content").alias("answer"))
+    calls = whole.where("status in ('linked', 'unanswered')").join(answers, F.col("key") == F.col("_target"), "left").drop("_target")
+    others = whole.where("status in ('repeated', 'early', 'orphan')").withColumn("answer", F.col("content"))
+    valid = F.when(F.col("errors").isNotNull(), F.col("errors") == "")
+    names = ("conv_id", "call_id", "occurrence", "status", "name", "turn", "place", "result_turn", "position", "cyclic", "n_results", "copies")
+    return calls.unionByName(others).select(*names, valid.alias("valid"), "errors", _written_call(F.col("answer")).alias("canonical"))
 
 
 def _written_call(result: Column) -> Column:

@@ -52,8 +52,8 @@ def drop_blank(pixels: DataFrame, tile: Sequence[str] = ("z", "x", "y"), alpha:
     return pixels.join(shown, list(tile), "left_semi")
 
 
-def composite_packed(layers: DataFrame, size: int) -> DataFrame:
-    """Whole tiles: ``z, x, y, ord, rgba`` (packed 8-bit RGBA) to ``z, x, y, nbytes, rgba``; blanks go.
+def composite_packed(layers: DataFrame, size: int, skip_blank: bool = True) -> DataFrame:
+    """Whole tiles: ``z, x, y, ord, rgba`` (packed 8-bit RGBA) to ``z, x, y, nbytes, rgba``; blanks go if they are to be skipped.
 
     A tile's few layers are held in one task, one group at a time.
     """
@@ -69,7 +69,7 @@ def composite_packed(layers: DataFrame, size: int) -> DataFrame:
             if alpha.min() >= 1 - OPAQUE:
                 break
         out = table.slice(0, 1).select(["z", "x", "y"])
-        if alpha.max() <= BLANK:
+        if skip_blank and alpha.max() <= BLANK:
             out = out.slice(0, 0)
             return out.append_column("nbytes", pa.array([], pa.int64())).append_column("rgba", pa.array([], pa.binary()))
         straight = np.where(alpha > 0, np.rint(np.clip(colour / np.where(alpha > 0, alpha, 1), 0, 255)), 0)

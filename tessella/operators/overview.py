@@ -46,6 +46,13 @@ def cascade(tiles: DataFrame, top: int, low: int, keep: Callable[[DataFrame], Da
     return found
 
 
+def children_of(tiles: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The tiles whose parent is in ``wanted`` (z, x, y)."""
+    keys = wanted.select((F.col("z") + 1).cast("int").alias("z"), F.col("x").alias("_px"), F.col("y").alias("_py"))
+    placed = tiles.withColumn("_px", parent(F.col("x"))).withColumn("_py", parent(F.col("y")))
+    return placed.join(keys, ["z", "_px", "_py"], "left_semi").drop("_px", "_py")
+
+
 def box_reduce(pixels: DataFrame, keys: list[str], factor: int, colour: str = "c", alpha: str = "a") -> DataFrame:
     """Means of premultiplied colour and of alpha over boxes of ``factor`` by ``factor``."""
     box = lambda p: F.floor(F.col(p) / factor).cast("int").alias(p)

@@ -40,6 +40,18 @@ def heal(pixels: DataFrame, frames: DataFrame, colours: tuple[str, ...] = ("r",
     return met.select("sheet", "col", "row", *colours)
 
 
+def heal_image(image: np.ndarray, outer: list[int], clean: list[int]) -> np.ndarray:
+    """The same for one whole image: every row and column of the frame is looked up at its clamped place."""
+    height, width = image.shape[:2]
+    (x0, y0, x1, y1), (a0, b0, a1, b1) = outer, clean
+    if not (0 <= x0 < a0 < a1 < x1 <= width and 0 <= y0 < b0 < b1 < y1 <= height):
+        raise ValueError(f"no plausible frame for {width} by {height} pixels: {outer}, {clean}")
+    rows, cols = np.clip(np.arange(y0, y1), b0, b1 - 1), np.clip(np.arange(x0, x1), a0, a1 - 1)
+    done = image.copy()
+    done[y0:y1, x0:x1] = image[np.ix_(rows, cols)]
+    return done
+
+
 def upsample_nearest(pixels: DataFrame, keys: list[str], values: list[str], factor: int = 2) -> DataFrame:
     """Each pixel as ``factor`` by ``factor`` pixels."""
     steps = F.sequence(F.lit(0), F.lit(factor - 1))
@@ -150,6 +162,44 @@ def upsample_blocks(image: np.ndarray, model: Callable[[np.ndarray], np.ndarray]
     return out
 
 
+def upsample(blocks: DataFrame, sizes: DataFrame, model: str | Callable[[np.ndarray], np.ndarray], block: int = BLOCK, overlap: int = OVERLAP) -> DataFrame:
+    """Raster blocks ``ord, bx, by, rgba`` doubled: blocks of twice the side, under the same numbers.
+
+    A block is read with ``overlap`` pixels around it.  Each block sends its neighbours the strip that
+    they need and no more; a group is nine pieces at most.  ``sizes`` has ord, width and height, so that
+    a model never sees beyond the sheet.
+    """
+    run = model_of(model) if isinstance(model, str) else model
+    b, o = block, overlap
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for order, bx, by, rgba, width, height in zip(*(batch.column(c).to_pylist() for c in ("ord", "bx", "by", "rgba", "width", "height")), strict=True):
+                image = np.frombuffer(rgba, np.uint8).reshape(b, b, 4)[: height - by * b, : width - bx * b]
+                rows = []
+                for dy, part in ((-1, image[:o]), (0, image), (1, image[-o:] if image.shape[0] == b else image[:0])):
+                    for dx, piece in ((-1, part[:, :o]), (0, part), (1, part[:, -o:] if image.shape[1] == b else part[:, :0])):
+                        tx, ty = bx + dx, by + dy
+                        if piece.size and 0 <= tx * b < width and 0 <= ty * b < height:
+                            rows.append((order, tx, ty, -dx, -dy, piece.shape[0], piece.tobytes()))
+                types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["ord", "bx", "by", "sx", "sy", "rows", "rgba"])
+
+    def doubled(table: pa.Table) -> pa.Table:
+        parts = {(x, y): np.frombuffer(v, np.uint8).reshape(n, -1, 4) for x, y, n, v in zip(*(table.column(c).to_pylist() for c in ("sx", "sy", "rows", "rgba")), strict=True)}
+        lines = [np.concatenate([parts[x, y] for x in (-1, 0, 1) if (x, y) in parts], axis=1) for y in (-1, 0, 1) if (0, y) in parts]
+        whole = np.concatenate(lines, axis=0)
+        height, width = parts[0, 0].shape[:2]
+        top, left = (parts[0, -1].shape[0] if (0, -1) in parts else 0), (parts[-1, 0].shape[1] if (-1, 0) in parts else 0)
+        out = np.zeros((2 * b, 2 * b, 4), np.uint8)
+        out[: 2 * height, : 2 * width] = run(whole)[2 * top : 2 * (top + height), 2 * left : 2 * (left + width)]
+        first = [table.column(c).slice(0, 1) for c in ("ord", "bx", "by")]
+        return pa.table([*first, pa.array([out.tobytes()], pa.binary())], names=["ord", "bx", "by", "rgba"])
+
+    sent = arrow_map(blocks.join(sizes, "ord").where((F.col("bx") * b < F.col("width")) & (F.col("by") * b < F.col("height"))).select("ord", "bx", "by", "rgba", "width", "height"), pieces, "ord long, bx int, by int, sx int, sy int, rows int, rgba binary")
+    return sent.groupBy("ord", "bx", "by").applyInArrow(doubled, "ord long, bx int, by int, rgba binary")
+
+
 def model_of(kernel: str) -> Callable[[np.ndarray], np.ndarray]:
     """A model that doubles by one of the kernels."""
     name = kernel_of(kernel)

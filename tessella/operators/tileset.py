@@ -36,6 +36,16 @@ def covered(tiles: DataFrame, by_zoom: DataFrame, detail_zoom: int | None = None
     return top.drop("west", "east").join(arc, "z").select("west", "south", "east", "north")
 
 
+def covered_geographic(tiles: DataFrame, by_zoom: DataFrame, detail_zoom: int | None = None) -> DataFrame:
+    """The same where tiles are boxes in degrees."""
+    full = by_zoom.where(F.col("z") < detail_zoom) if detail_zoom is not None else by_zoom
+    top = full.agg(F.max_by(F.struct("z", "y_min", "y_max"), "z").alias("t")).select("t.*")
+    columns = tiles.join(F.broadcast(top.select("z")), "z", "left_semi").select("z", "x").distinct()  # one row
+    step = 180 / F.pow(F.lit(2.0), F.col("z"))
+    arc = covering_arc(columns.select("z", (F.col("x") * step - 180).alias("lo"), ((F.col("x") + 1) * step - 180).alias("hi")), ["z"])
+    return top.join(arc, "z").select("west", (90 - (F.col("y_max") + 1) * step).alias("south"), "east", (90 - F.col("y_min") * step).alias("north"))
+
+
 def metadata(total: DataFrame, bounds: DataFrame, data: DataFrame, *, name: str, source: str, tile_format: str, scheme: str, crs: str, native_zoom: int, sources: list[str] | None = None) -> DataFrame:
     """The metadata document as one row with column ``metadata`` (JSON); inputs have one row each."""
     r = lambda c: F.round(F.col(c), 8)

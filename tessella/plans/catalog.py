@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,14 @@ def wants(name: Column, row: dict, kind: str) -> Column:
     return match & ~text.excluded(name, row["exclude"]) if kind == "tif" else match
 
 
+def wanted_into(name: str, row: dict) -> str | None:
+    """Where a series keeps a file of this name, if it does: GeoTIFFs in its folder, PDFs in the folder pdf."""
+    fits = lambda kind: bool(row[kind]) and re.fullmatch(row[kind], name, re.IGNORECASE) is not None
+    if name.lower().endswith((".tif", ".tiff")):
+        return name if fits("tif") and name not in row["exclude"] else None
+    return f"pdf/{name}" if name.lower().endswith(".pdf") and fits("pdf") else None
+
+
 def fetches_tifs(pdf_scale: Column) -> Column:
     return pdf_scale == 0
 
@@ -96,3 +106,33 @@ def pdf_for(sheets: DataFrame, pdfs: DataFrame) -> DataFrame:
     short = pdfs.select(F.col("stem").alias("__short"))
     joined = sheets.join(exact, F.col("stem") == F.col("__exact"), "left").join(short, F.rtrim("stem", F.lit("NS")) == F.col("__short"), "left")
     return joined.select(*sheets.columns, F.coalesce("__exact", "__short").alias("pdf"))
+
+
+def chosen(sheets: DataFrame, prefixes: list[str], name: str = "name") -> DataFrame:
+    """The sheets whose name begins with one of ``prefixes``; all of them if there are none."""
+    if not prefixes:
+        return sheets
+    begins = F.lit(False)
+    for p in prefixes:
+        begins = begins | F.col(name).startswith(p)
+    return sheets.where(begins)
+
+
+def chained(files: DataFrame, names: list[str], accept_equal: bool = True) -> DataFrame:
+    """Stages ``names`` in order over ``files`` (stage, name, mtime): ``name, stage, missing`` of outputs to make anew.
+
+    The first stage is what was downloaded; each later one is compared with the one before.
+    """
+    found = None
+    for before, after in zip(names, names[1:], strict=False):
+        of = lambda stage: files.where(F.col("stage") == stage).select("name", "mtime")
+        wanted = files.where(F.col("stage") == names[0]).select("name")
+        ready = of(before).join(wanted, "name", "left_semi")
+        part = stale(ready, of(after), "name", not accept_equal).select("name", F.lit(after).alias("stage"), "missing")
+        found = part if found is None else found.union(part)
+    return found
+
+
+def detectors(all_series: DataFrame) -> DataFrame:
+    """One row: the names of all detectors, in order."""
+    return all_series.agg(F.array_join(F.array_sort(F.collect_set("detector")), ", ").alias("detectors"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -131,6 +133,26 @@ def write_tree(tiles: DataFrame, folder: str) -> None:
     arrow_map(tiles.select("z", "x", "y", "png"), put, "n long").agg(F.sum("n")).collect()
 
 
+TREE = "z int, x long, y long, nbytes long, mtime timestamp, path string"
+
+
+def read_tiles(tiles: DataFrame) -> DataFrame:
+    """Scanned tiles to ``z, x, y, rgba``; workers open the files, in the folder that all of them share."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 64):
+                part = batch.slice(low, 64)
+                files = [re.sub("^file:/*", "/", unquote(p)) for p in part.column("path").to_pylist()]
+                rgba = []
+                for name in files:
+                    with open(name, "rb") as f:
+                        rgba.append(decoded(f.read()).tobytes())
+                yield pa.RecordBatch.from_arrays([part.column("z"), part.column("x"), part.column("y"), pa.array(rgba, pa.binary())], ["z", "x", "y", "rgba"])
+
+    return arrow_map(tiles.select("z", "x", "y", "path"), read, "z int, x long, y long, rgba binary")
+
+
 def scan_tree(spark: SparkSession, folder: str, suffix: str = "png") -> DataFrame:
     """``z, x, y, nbytes, mtime, path`` of a tile tree; other names are left out, contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{suffix}").load(folder).select("path", F.col("modificationTime").alias("mtime"), F.col("length").alias("nbytes"))

@@ -1,4 +1,4 @@
-"""TIFF rasters without other libraries: strips of 8-bit pixels, plain or deflated, with GeoTIFF tags."""
+"""TIFF rasters without other libraries: 8-bit pixels in strips or tiles, plain, deflated or LZW, with GeoTIFF tags."""
 
 from __future__ import annotations
 
@@ -112,26 +112,73 @@ def _directory(part: Callable[[int, int], bytes]) -> Header:
     return found
 
 
-def pixels(data: bytes) -> np.ndarray:
-    """All pixels as RGBA bytes: a palette is looked up, gray is repeated, alpha is added where there is none."""
-    h = header(data)
-    compression = h.one(259, 1)
-    if compression not in (1, 8, 32946) or any(b != 8 for b in h.values(258) or [1]) or h.one(284, 1) != 1:
-        raise ValueError("only 8-bit interleaved pixels, plain or deflated")
-    strips = [data[a : a + n] for a, n in zip(h.values(273), h.values(279), strict=True)]
-    if compression != 1:
-        strips = [zlib.decompress(s) for s in strips]
-    image = np.frombuffer(b"".join(strips), np.uint8)[: h.height * h.width * h.bands].reshape(h.height, h.width, h.bands)
-    if h.one(317, 1) == 2:
-        image = np.cumsum(image, axis=1, dtype=np.uint8)
-    if h.bands == 1:
+def _unlzw(data: bytes) -> bytes:
+    """TIFF's LZW: codes of 9 to 12 bits, high bit first, 256 clears the table and 257 ends."""
+    table: list[bytes] = []
+    out: list[bytes] = []
+    bits, held, width, last = 0, 0, 9, b""
+    for byte in data:
+        bits, held = (bits << 8 | byte) & 0xFFFFFF, held + 8
+        if held < width:
+            continue
+        held -= width
+        code = bits >> held & (1 << width) - 1
+        if code == 257:
+            break
+        if code == 256:
+            table = [bytes([k]) for k in range(256)] + [b"", b""]
+            width, last = 9, b""
+            continue
+        word = table[code] if code < len(table) else last + last[:1]
+        out.append(word)
+        if last:
+            table.append(last + word[:1])
+        last = word
+        width = max(9, min(12, (len(table) + 1).bit_length()))
+    return b"".join(out)
+
+
+UNPACK = {1: bytes, 5: _unlzw, 8: zlib.decompress, 32946: zlib.decompress}
+
+
+def chunks(data: bytes, h: Header) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The strips or tiles of an image, one at a time: top, left, pixels (height, width, bands) inside the image."""
+    if any(b != 8 for b in h.values(258) or [1]) or h.one(284, 1) != 1 or h.one(259, 1) not in UNPACK:
+        raise ValueError("only 8-bit interleaved pixels, plain, deflated or LZW")
+    unpack, tiled = UNPACK[h.one(259, 1)], 322 in h.tags
+    width, height = (h.one(322), h.one(323)) if tiled else (h.width, h.one(278, h.height))
+    across = -(-h.width // width)
+    starts, sizes = (324, 325) if tiled else (273, 279)
+    for k, (at, n) in enumerate(zip(h.values(starts), h.values(sizes), strict=True)):
+        top, left = k // across * height, k % across * width
+        rows = height if tiled else min(height, h.height - top)
+        part = np.frombuffer(unpack(data[at : at + n]), np.uint8)[: rows * width * h.bands].reshape(rows, width, h.bands)
+        if h.one(317, 1) == 2:
+            part = np.cumsum(part, axis=1, dtype=np.uint8)
+        yield top, left, part[: h.height - top, : h.width - left]
+
+
+def _coloured(part: np.ndarray, h: Header) -> np.ndarray:
+    """RGBA: a palette is looked up, gray is repeated, alpha is added where there is none."""
+    if h.bands <= 2:
         if h.one(262) == 3:
             palette = (np.array(h.values(320)).reshape(3, -1).T // 257).astype(np.uint8)
-            image = palette[image[..., 0]]
+            rgb = palette[part[..., 0]]
         else:
-            image = np.repeat(image, 3, axis=2)
-    opaque = np.full((*image.shape[:2], 1), 255, np.uint8)
-    return np.concatenate([image[..., :3], image[..., -1:] if image.shape[2] >= 4 else opaque], axis=2)
+            rgb = np.repeat(part[..., :1], 3, axis=2)
+    else:
+        rgb = part[..., :3]
+    alpha = part[..., -1:] if h.bands in (2, 4) else np.full((*part.shape[:2], 1), 255, np.uint8)
+    return np.concatenate([rgb, alpha], axis=2)
+
+
+def pixels(data: bytes) -> np.ndarray:
+    """All pixels as RGBA bytes."""
+    h = header(data)
+    image = np.zeros((h.height, h.width, 4), np.uint8)
+    for top, left, part in chunks(data, h):
+        image[top : top + part.shape[0], left : left + part.shape[1]] = _coloured(part, h)
+    return image
 
 
 def _entries(tags: dict[int, tuple[int, int, bytes]], order: str, at: int) -> bytes:
@@ -169,6 +216,57 @@ def written(image: np.ndarray, geotransform: list[float] | None = None, epsg: in
     return b"II" + struct.pack("<HI", 42, at) + strip + b"\0" * (len(strip) % 2) + _entries(tags, "<", at)
 
 
+class TiledWriter:
+    """A TIFF written tile by tile, as they come: deflated RGB tiles, the directory behind them.
+
+    Nothing but the tiles' places is held.  ``close`` gives the file its name; until then it is a part.
+    """
+
+    def __init__(self, path: str, width: int, height: int, side: int, georeference: dict[int, tuple[int, int, bytes]] | None = None):
+        self.path, self.width, self.height, self.side = path, width, height, side
+        self.tags = georeference or {}
+        self.across, self.down = -(-width // side), -(-height // side)
+        self.places: dict[tuple[int, int], tuple[int, int]] = {}
+        self.part = f"{path}.{os.getpid()}.part"
+        self.file = open(self.part, "wb")
+        self.file.write(b"II" + struct.pack("<HI", 42, 0))
+
+    def put(self, row: int, column: int, rgb: np.ndarray) -> None:
+        """A tile of up to ``side`` pixels square; the rest of it is zero."""
+        whole = np.zeros((self.side, self.side, 3), np.uint8)
+        whole[: rgb.shape[0], : rgb.shape[1]] = rgb[..., :3]
+        packed = zlib.compress(whole.tobytes())
+        self.places[row, column] = self.file.tell(), len(packed)
+        self.file.write(packed + b"\0" * (len(packed) % 2))
+
+    def close(self) -> None:
+        missing = [(r, c) for r in range(self.down) for c in range(self.across) if (r, c) not in self.places]
+        for r, c in missing:
+            self.put(r, c, np.zeros((1, 1, 3), np.uint8))
+        order = [self.places[r, c] for r in range(self.down) for c in range(self.across)]
+        long_ = lambda *v: (4, len(v), struct.pack(f"<{len(v)}I", *v))
+        short = lambda *v: (3, len(v), struct.pack(f"<{len(v)}H", *v))
+        tags = {256: long_(self.width), 257: long_(self.height), 258: short(8, 8, 8), 259: short(8), 262: short(2), 277: short(3), 284: short(1), 322: long_(self.side), 323: long_(self.side), 324: long_(*(a for a, _ in order)), 325: long_(*(n for _, n in order))}
+        at = self.file.tell()
+        self.file.write(_entries(tags | self.tags, "<", at))
+        self.file.seek(4)
+        self.file.write(struct.pack("<I", at))
+        self.file.close()
+        os.replace(self.part, self.path)
+
+
+def georeference_tags(h: Header, scale: int = 1) -> dict[int, tuple[int, int, bytes]]:
+    """The tags that carry a header's georeference, for pixels that are ``scale`` times smaller."""
+    tags = {t: h.tags[t] for t in (GEO_KEYS, GEO_DOUBLES, GEO_ASCII) if t in h.tags}
+    if h.order != "<":
+        wide = {t: SIZES.get(k, 1) for t, (k, _, _) in tags.items()}
+        tags = {t: (k, n, raw if wide[t] == 1 else np.frombuffer(raw, f"u{wide[t]}").byteswap().tobytes()) for t, (k, n, raw) in tags.items()}
+    if g := h.geotransform:
+        matrix = [g[1] / scale, g[2] / scale, 0, g[0], g[4] / scale, g[5] / scale, 0, g[3], 0, 0, 0, 0, 0, 0, 0, 1]
+        tags[TRANSFORM] = (12, 16, struct.pack("<16d", *matrix))
+    return tags
+
+
 def copy_georeference(reference: str, image: str, output: str, *, overwrite: bool = False, strict_size: bool = True, copy_nodata: bool = False) -> str:
     """``image`` with the georeference of ``reference``: pixels byte for byte, a new directory behind them."""
     for path in (reference, image):
@@ -229,21 +327,88 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
     return arrow_map(files, read, "path string, width int, height int, bands int, gt array<double>, epsg int, georeferenced boolean")
 
 
+def write_blocks(blocks: DataFrame, plan: dict[int, tuple[str, int, int, dict]], side: int) -> DataFrame:
+    """Write blocks ``ord, bx, by, rgba`` of ``side`` pixels to files; ``plan`` has path, size and georeference tags by ``ord``.
+
+    A file's blocks come to one task in their order and are written as they come, so one block is
+    held; the folder must be one that all executors share.  Gives ``ord, blocks``.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer, now, n = None, None, 0
+        for batch in batches:
+            for order, bx, by, rgba in zip(*(batch.column(c) for c in ("ord", "bx", "by", "rgba")), strict=True):
+                if order.as_py() != now:
+                    if writer:
+                        writer.close()
+                        yield pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([n], pa.int64())], ["ord", "blocks"])
+                    now, n = order.as_py(), 0
+                    path, width, height, tags = plan[now]
+                    writer = TiledWriter(path, width, height, side, tags)
+                writer.put(by.as_py(), bx.as_py(), np.frombuffer(rgba.as_py(), np.uint8).reshape(side, side, 4))
+                n += 1
+        if writer:
+            writer.close()
+            yield pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([n], pa.int64())], ["ord", "blocks"])
+
+    ordered = blocks.select("ord", "bx", "by", "rgba").repartition(max(1, len(plan)), "ord").sortWithinPartitions("ord", "by", "bx")
+    return arrow_map(ordered, write, "ord long, blocks long")
+
+
 def raster_blocks(files: DataFrame, block: int = 256) -> DataFrame:
-    """Files (``ord, content``) to blocks ``ord, bx, by, rgba`` of ``block`` pixels, zero beyond the image."""
+    """Files (``ord, content``) to blocks ``ord, bx, by, rgba`` of ``block`` pixels, zero beyond the image.
+
+    Strips and tiles are unpacked one at a time, and a row of blocks leaves once it is whole, so a
+    task holds the packed file and the open rows of blocks only.
+    """
+
+    def made(order: int, by: int, rows: np.ndarray) -> pa.RecordBatch:
+        n = rows.shape[1] // block
+        parts = [rows[:, bx * block : (bx + 1) * block].tobytes() for bx in range(n)]
+        return pa.RecordBatch.from_arrays([pa.array([order] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([by] * n, pa.int32()), pa.array(parts, pa.binary())], ["ord", "bx", "by", "rgba"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for order, content in zip(batch.column("ord").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                image = pixels(content)
-                for by in range(0, -(-image.shape[0] // block)):
-                    rows = []
-                    for bx in range(0, -(-image.shape[1] // block)):
-                        part = np.zeros((block, block, 4), np.uint8)
-                        piece = image[by * block : (by + 1) * block, bx * block : (bx + 1) * block]
-                        part[: piece.shape[0], : piece.shape[1]] = piece
-                        rows.append((order, bx, by, part.tobytes()))
-                    o, x, y, p = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()), pa.array(x, pa.int32()), pa.array(y, pa.int32()), pa.array(p, pa.binary())], ["ord", "bx", "by", "rgba"])
+                h = header(content)
+                wide, rows = -(-h.width // block) * block, {}
+                done = 0
+                for top, left, part in chunks(content, h):
+                    for by in range(done, top // block):  # chunks come from the top down
+                        yield made(order, by, rows.pop(by))
+                    done = max(done, top // block)
+                    colour = _coloured(part, h)
+                    for by in range(top // block, (top + part.shape[0] - 1) // block + 1):
+                        row = rows.setdefault(by, np.zeros((block, wide, 4), np.uint8))
+                        a, b = max(top, by * block), min(top + part.shape[0], (by + 1) * block)
+                        row[a - by * block : b - by * block, left : left + part.shape[1]] = colour[a - top : b - top]
+                for by in sorted(rows):
+                    yield made(order, by, rows[by])
 
     return arrow_map(files.select("ord", "content"), cut, "ord long, bx int, by int, rgba binary")
+
+
+def sampled(files: DataFrame, every: int = 1) -> DataFrame:
+    """Files (``sheet, content``) to pixels ``sheet, col, row, r, g, b, width, height``, of each ``every``-th row and column.
+
+    Sampled, not averaged; col and row count the samples.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, content in enumerate(batch.column("content").to_pylist()):
+                h = header(content)
+                for top, left, part in chunks(content, h):
+                    rows, cols = np.arange(-top % every, part.shape[0], every), np.arange(-left % every, part.shape[1], every)
+                    if not len(rows) or not len(cols):
+                        continue
+                    rgb = _coloured(part[np.ix_(rows, cols)], h)
+                    y, x = np.meshgrid((rows + top) // every, (cols + left) // every, indexing="ij")
+                    inside = (y < max(1, h.height // every)) & (x < max(1, h.width // every))
+                    n = int(inside.sum())
+                    whole = lambda v, n=n: pa.array(np.full(n, v, np.int32))
+                    name = batch.column("sheet").slice(i, 1).take(pa.array(np.zeros(n, np.int32)))
+                    yield pa.RecordBatch.from_arrays([name, *(pa.array(v[inside].astype(np.int32)) for v in (x, y, rgb[..., 0], rgb[..., 1], rgb[..., 2])), whole(h.width // every), whole(h.height // every)], ["sheet", "col", "row", "r", "g", "b", "width", "height"])
+
+    kind = files.schema["sheet"].dataType.simpleString()
+    return arrow_map(files.select("sheet", "content"), read, f"sheet {kind}, col int, row int, r int, g int, b int, width int, height int")

@@ -178,3 +178,15 @@ class LambertConformalConic:
         body = re.search(r'SPHEROID\["[^"]*",\s*([-0-9.eE]+),\s*([-0-9.eE]+)', wkt)
         a, inv = (float(body[1]), float(body[2])) if body else (6378137.0, 298.257222101)
         return LambertConformalConic(found["standard_parallel_1"], found["standard_parallel_2"], found["latitude_of_origin"], found["central_meridian"], found.get("false_easting", 0.0), found.get("false_northing", 0.0), a, inv)
+
+
+def on_lattice(at: Column, step: int, function) -> Column:
+    """``function`` at ``at`` by its values at the multiples of ``step`` on either side."""
+    low = F.floor(at / step) * step
+    share = (at - low) / step
+    return function(low.cast("double")) * (1 - share) + function((low + step).cast("double")) * share
+
+
+def sampling_place(source: Column, size: Column) -> Column:
+    """A source coordinate as -1..1 over the image, in which a sampler takes it."""
+    return 2 * source / size - 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.text import request_class, tile_of_url
@@ -45,3 +45,20 @@ def progress(steps: DataFrame, keys: list[str], order: str, elapsed: str) -> Dat
     done = steps.withColumn("done", F.row_number().over(within.orderBy(order)).cast("long")).withColumn("__total", F.count("*").over(within))
     rest = (F.col("__total") - F.col("done")) * F.col(elapsed) / F.col("done")
     return done.withColumn("rate", F.col("done") / F.col(elapsed)).withColumn("eta", rest).drop("__total")
+
+
+def visible_labels(seen: DataFrame) -> DataFrame:
+    """:func:`visible` as text by level: how many tiles, and the ranges of their columns and rows."""
+    span = lambda name: F.concat(F.col(f"{name}0").cast("string"), F.when(F.col(f"{name}1") > F.col(f"{name}0"), F.concat(F.lit("-"), F.col(f"{name}1").cast("string"))).otherwise(""))
+    return seen.select(F.concat(F.lit("z"), F.col("z").cast("string")).alias("level"), F.concat(F.col("n").cast("string"), F.lit(" \u00d7  x "), span("x"), F.lit("  y "), span("y")).alias("label"))
+
+
+def worth_noting(status: Column, described: Column) -> Column:
+    """Whether a failed request says anything: where a tileset is described, a missing tile is only an empty place."""
+    return (status >= 400) & ~((status == 404) & described)
+
+
+def exits(runs: DataFrame, names: str = "names", codes: str = "codes") -> DataFrame:
+    """Runs of several processes (arrays of names and exit codes) with ``failed``: the names that did not end well."""
+    bad = F.filter(F.arrays_zip(F.col(names).alias("name"), F.col(codes).alias("code")), lambda p: p["code"] != 0)
+    return runs.withColumn("failed", F.array_join(F.array_sort(F.transform(bad, lambda p: p["name"])), ", "))

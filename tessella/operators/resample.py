@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.functions.workers import arrow_map
+from tessella.functions.workers import arrow_map, ship
 
 #: The bicubic kernel's parameter, the block and overlap of model upsampling.
 CUBIC_A, BLOCK, OVERLAP = -0.75, 256, 16
@@ -268,3 +268,35 @@ def warp_chips(chips: DataFrame, size: int, scale: float, kernel: str = "bicubic
     rows = arrow_map(packed, warped, f"chip {kind}, c array<int>, a array<int>")
     each = rows.select("chip", F.posexplode(F.arrays_zip("c", "a")).alias("at", "v"))
     return each.select("chip", (F.col("at") % side).cast("int").alias("px"), F.floor(F.col("at") / side).cast("int").alias("py"), "v.c", "v.a")
+
+
+def packed_blocks(pixels: DataFrame, block: int) -> DataFrame:
+    """Gray pixels ``ord, x, y, c, a`` to packed blocks ``ord, bx, by, rgba``; pixels that aren't there are zero.
+
+    A block is one group, ``block`` pixels square at most.
+    """
+
+    def packed(table: pa.Table) -> pa.Table:
+        x, y, c, a = (table.column(n).to_numpy() for n in ("x", "y", "c", "a"))
+        image = np.zeros((block, block, 4), np.uint8)
+        image[y % block, x % block, :3], image[y % block, x % block, 3] = c[:, None], a
+        first = [table.column(n).slice(0, 1) for n in ("ord", "bx", "by")]
+        return pa.table([*first, pa.array([image.tobytes()], pa.binary())], names=["ord", "bx", "by", "rgba"])
+
+    at = lambda name: F.floor(F.col(name) / block).cast("int").alias(f"b{name}")
+    ship(pixels.sparkSession)
+    rows = pixels.select(F.col("ord").cast("long").alias("ord"), at("x"), at("y"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "c", "a")
+    return rows.groupBy("ord", "bx", "by").applyInArrow(packed, "ord long, bx int, by int, rgba binary")
+
+
+def unpacked_blocks(blocks: DataFrame, block: int) -> DataFrame:
+    """Packed blocks to pixels ``ord, x, y, r, g, b, a``."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y, x = np.mgrid[:block, :block]
+        for batch in batches:
+            for order, bx, by, rgba in zip(*(batch.column(c).to_pylist() for c in ("ord", "bx", "by", "rgba")), strict=True):
+                image = np.frombuffer(rgba, np.uint8).reshape(-1, 4).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(block * block, order, np.int64)), pa.array((x + bx * block).ravel().astype(np.int64)), pa.array((y + by * block).ravel().astype(np.int64)), *(pa.array(image[:, k]) for k in range(4))], ["ord", "x", "y", "r", "g", "b", "a"])
+
+    return arrow_map(blocks.select("ord", "bx", "by", "rgba"), read, "ord long, x long, y long, r int, g int, b int, a int")

@@ -6,7 +6,7 @@ into the columns of the footprint's extent there, and the rest is keyed on (z, x
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.grid import BLOCK_TILES, EPS, Scheme, block_of
@@ -76,3 +76,24 @@ def plan_blocks(plan: DataFrame, size: int = BLOCK_TILES) -> DataFrame:
 def resume(plan: DataFrame, written: DataFrame) -> DataFrame:
     """The plan without tiles that exist."""
     return plan.join(written.select("z", "x", "y").distinct(), ["z", "x", "y"], "left_anti")
+
+
+#: Bytes of one seam tile's running colour and alpha: four half floats a pixel.
+SEAM_BYTES = 4 * 2 * 256 * 256
+
+
+def seam_slots(seams: Column, budget: Column | int) -> Column:
+    """Seam tiles that may be open at once within ``budget`` bytes."""
+    return F.greatest(F.lit(0).cast("long"), F.least(seams, F.floor((F.lit(budget) if isinstance(budget, int) else budget) / SEAM_BYTES)))
+
+
+def window_starts(windows: DataFrame, by: str = "ord", size: str = "tiles") -> DataFrame:
+    """Blocks of each sheet in order with ``start``, the tiles of all blocks before."""
+    order = Window.partitionBy(by).orderBy("z", "by", "bx").rowsBetween(Window.unboundedPreceding, -1)
+    return windows.withColumn("start", F.coalesce(F.sum(size).over(order), F.lit(0)))
+
+
+def first_blocks(blocks: DataFrame, n: int, sheet: str = "ord") -> DataFrame:
+    """The first ``n`` blocks of each sheet, row by row, for a trial."""
+    order = Window.partitionBy(sheet).orderBy("by", "bx")
+    return blocks.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")

@@ -90,7 +90,7 @@ def fetch(spark: SparkSession, urls: list[str] | DataFrame, series: dict, out: s
     return arrow_map(rows.select("url"), run, "url string, archive string, files array<string>, bytes long, seconds double, error string")
 
 
-def outcome(done: DataFrame, name: str = "archive", error: str = "error") -> DataFrame:
-    """One row: how many went well, how many failed, and which, in order of name."""
+def outcome(done: DataFrame, name: str = "archive", error: str = "error", by: list[str] | None = None) -> DataFrame:
+    """One row a group: how many went well, how many failed, and which, in order of name."""
     failed = F.col(error).isNotNull()
-    return done.agg(F.count_if(~failed).alias("done"), F.count_if(failed).alias("failed"), F.array_join(F.array_sort(F.collect_set(F.when(failed, F.col(name)))), ", ").alias("names"))
+    return done.groupBy(*(by or [])).agg(F.count_if(~failed).alias("done"), F.count_if(failed).alias("failed"), F.array_join(F.array_sort(F.collect_set(F.when(failed, F.col(name)))), ", ").alias("names"))

@@ -15,10 +15,12 @@ both, and at least ``KEY_WORDS`` words of the passage follow there.
    with the next retained suffix; so the union of matches of ``MIN_WORDS`` or more words covers a
    passage of any length.  Suffixes at a partition's edges are compared with those across in one
    more step, which has the suffixes of two texts for each partition.
-3. Keys of few suffixes are compared pair by pair.  In others a neighbour on the right may differ
-   on the left from a third suffix that would match, or match longer.  Suffixes that might match
-   so, which are those whose match does not reach both limits, are decided exactly: the windows of
-   ``MIN_WORDS`` words around all suffixes with their hash are compared by MD5.
+3. A neighbour on the right may differ on the left from a third suffix that would match, or match
+   longer.  Keys whose suffixes lie in one partition, up to ``MOST_HELD`` of them, are therefore
+   sorted a second time, by their left, which gives the longest match on that side; where both
+   bounds leave room, windows of ``MIN_WORDS`` words around the key's suffixes are compared there.
+   Suffixes of larger keys and of those at a partition's edges whose match does not reach both
+   limits are decided exactly as well, by the MD5 of such windows over the cluster.
 
 A text that is itself held by several documents is a passage as a whole if it has MIN_WORDS words.
 
@@ -34,37 +36,74 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.workers import arrow_map
-from tessella.llm.shared import blank_words, cut
+from tessella.llm.shared import blank_words, cut, join_hot
 
 MIN_WORDS, GRAM, SPREAD = 50, 8, 30
 KEY_WORDS = MIN_WORDS - SPREAD
 #: Most texts whose ids are broadcast to leave out documents without a repeated suffix.
 MOST_TEXTS = 1_000_000
-#: Words whose hashes a worker keeps.
-MOST_WORDS = 1_000_000
-#: Most suffixes of a key that are compared pair by pair.
-MOST_PAIRED = 32
+#: Most suffixes of a key that are held at once, and most that are compared pair by pair.
+MOST_HELD, MOST_PAIRED = 8192, 16
+#: Text bytes that are hashed at once.
+CHUNK = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
+_BASE = 0xD6E8FEB86659FD93
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
-_hashes: dict[bytes, int] = {}
 
+def _powers(base: int) -> np.ndarray:
+    """``base`` to the power of 0 .. CHUNK, in 64 bits."""
+    factors = np.full(CHUNK + 1, base, np.uint64)
+    factors[0] = 1
+    with np.errstate(over="ignore"):
+        return np.cumprod(factors, dtype=np.uint64)
+
+
+_tables: list[np.ndarray] = []
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    try:
-        return np.array(list(map(_hashes.__getitem__, words)), np.uint64)
-    except KeyError:
-        pass
-    if len(_hashes) > MOST_WORDS:
-        _hashes.clear()
-    for w in set(words):
-        if w not in _hashes:
-            _hashes[w] = xxhash.xxh64_intdigest(w)
-    return np.array(list(map(_hashes.__getitem__, words)), np.uint64)
+
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of every word of the texts ``data[bounds[i]:bounds[i + 1]]``, in order.
+
+    A word's hash is the polynomial of its bytes, from differences of running sums, so a chunk of
+    many texts takes a few passes.  A word that goes on in the next chunk is carried over.
+    """
+    if not _tables:
+        _tables.extend([_powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))])
+    powers, inverse = _tables
+    hashes, texts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    carried, length = 0, 0
+    low, end = int(bounds[0]), int(bounds[-1])
+    edges = np.zeros(end - low + 1, bool)
+    edges[bounds - low] = True  # texts begin and end here
+    with np.errstate(over="ignore"):
+        for at in range(low, end, CHUNK):
+            part = data[at : min(end, at + CHUNK)]
+            n = len(part)
+            inside = ~_BLANK[part]
+            first = inside.copy()
+            first[1:] &= ~inside[:-1] | edges[at - low + 1 : at - low + n]
+            last = inside.copy()
+            last[:-1] &= first[1:] | ~inside[1:]
+            starts, stops = np.flatnonzero(first), np.flatnonzero(last)
+            if not len(starts):
+                continue
+            sums = np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers[:n])
+            before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
+            found = (sums[stops] - before) * inverse[starts]
+            number = np.searchsorted(bounds, at + starts, side="right") - 1
+            if length and starts[0] == 0:
+                found[0] = np.uint64((carried + pow(_BASE, length, 1 << 64) * int(found[0])) % (1 << 64))
+            size = int(stops[-1] - starts[-1] + 1) + (length if len(starts) == 1 and starts[0] == 0 else 0)
+            goes_on = stops[-1] == n - 1 and at + n < end and not edges[at + n - low] and not _BLANK[data[at + n]]
+            carried, length = (int(found[-1]), size) if goes_on else (0, 0)
+            hashes.append(found[:-1] if goes_on else found)
+            texts.append(number[:-1] if goes_on else number)
+    return np.concatenate(hashes), np.concatenate(texts)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -73,38 +112,60 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _grams(hashes: np.ndarray, length: int) -> np.ndarray:
-    """Hash of every run of ``length`` words: the sum of word hash times power of an odd number."""
+    """Hash of every run of ``length`` word hashes: the sum of each, mixed, times a power of an odd number."""
+    mixed = _mixed(hashes)
     total = np.zeros(len(hashes) - length + 1, np.uint64)
-    factor = np.uint64(1)
+    factor = 1
     for j in range(length):
-        total += hashes[j : j + len(total)] * factor
-        factor *= np.uint64(_ODD)
+        total += mixed[j : j + len(total)] * np.uint64(factor)
+        factor = factor * _ODD % (1 << 64)
     return _mixed(total)
 
 
-def retained(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Places of retained suffixes with KEY_WORDS words to come, and the hashes of those words."""
-    if len(words) < MIN_WORDS:
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the least value in every window of ``width``, the first of equals, by windows that double."""
+    at, size = np.arange(len(values)), 1
+    while size < width:
+        step = min(size, width - size)
+        left, right = at[:-step], at[step:]
+        at = np.where(values[right] < values[left], right, left)
+        size += step
+    return at
+
+
+def retained(hashes: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of words in order, those at which retained suffixes begin, and the hashes of the KEY_WORDS words there."""
+    if len(hashes) < MIN_WORDS:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     with np.errstate(over="ignore"):
-        hashes = _word_hashes(words)
-        grams = _grams(hashes, GRAM)
-        windows = np.lib.stride_tricks.sliding_window_view(grams, SPREAD)
-        places = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
+        places = _least(_grams(hashes, GRAM), SPREAD)
         keys = _grams(hashes, KEY_WORDS)
+    # Windows lie in one text, which has MIN_WORDS words.
+    n = len(places)
+    whole = texts[:n] == texts[SPREAD + GRAM - 2 :][:n]
+    long = np.bincount(texts, minlength=int(texts[-1]) + 1) >= MIN_WORDS
+    places = np.unique(places[whole & long[texts[:n]]])
     places = places[places < len(keys)]
+    places = places[texts[places] == texts[places + KEY_WORDS - 1]]
     return places, keys[places].view(np.int64)
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, text_id, place`` of the retained suffixes, for some texts at a time, straight from Arrow's buffers."""
     for batch in batches:
-        for low in range(0, len(batch), 500):
-            part = batch.slice(low, 500)
-            found = [retained(x.as_py().encode().split()) for x in part.column("text")]
-            n = np.array([len(p) for p, _ in found], np.int64)
-            texts = np.repeat(part.column("text_id").to_numpy(), n)
-            none = [np.empty(0, np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k for _, k in found] or none)), pa.array(texts), pa.array(np.concatenate([p for p, _ in found] or none).astype(np.int32))], ["key", "text_id", "place"])
+        column = batch.column("text")
+        bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+        ids = batch.column("text_id").to_numpy()
+        low = 0
+        while low < len(column):
+            high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + CHUNK, side="right")) - 1)
+            hashes, texts = word_hashes(data, bounds[low : high + 1])
+            places, keys = retained(hashes, texts)
+            at = texts[places]
+            begins = np.searchsorted(texts, np.arange(high - low))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[low:high][at]), pa.array((places - begins[at]).astype(np.int32))], ["key", "text_id", "place"])
+            low = high
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,6 +212,11 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made(held)
 
 
+def _written(words: list[bytes]) -> bytes:
+    """Words with a blank behind each, so that bytes sort texts with equal first words side by side."""
+    return b"".join(w + b" " for w in words)
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each kept suffix: the words to its right, and those to its left read backwards."""
     for batch in batches:
@@ -159,7 +225,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = text.encode().split()
             for x in kept:
                 p = x["place"]
-                rows.append((x["key"], b" ".join(words[p : p + MIN_WORDS]), b" ".join(words[max(0, p - SPREAD) : p][::-1]), text_id, p))
+                rows.append((x["key"], _written(words[p : p + MIN_WORDS]), _written(words[max(0, p - SPREAD) : p][::-1]), text_id, p))
         for low in range(0, len(rows), 5000):
             columns = zip(*rows[low : low + 5000], strict=True)
             types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32()]
@@ -175,6 +241,58 @@ def _common(a: list[bytes], b: list[bytes]) -> int:
     return n
 
 
+def _pair(a: list, b: list) -> None:
+    """Take the match of two suffixes into both: ``[text_id, place, ahead, behind, before, after, reach]``."""
+    right, left = _common(a[2], b[2]), _common(a[3], b[3])
+    for x in (a, b):
+        x[6] = max(x[6], right)
+        if right + left >= MIN_WORDS:
+            x[4], x[5] = max(x[4], left), max(x[5], right)
+
+
+def _in_turn(rows: list[list]) -> Iterator[tuple[list, list]]:
+    """Each row, in an order, with the nearest row of another text before it, and with the nearest behind it."""
+    for line in (rows, rows[::-1]):
+        other: list | None = None  # the last row of a text other than the one before
+        for before, x in zip([None, *line], line, strict=False):
+            if before is not None and before[0] != x[0]:
+                other = before
+            if other is not None:
+                yield x, other
+
+
+def _settle(rows: list[list]) -> None:
+    """Find how far each suffix of one whole key matches another text; rows come sorted by what is ahead."""
+    if len(rows) <= MOST_PAIRED:
+        for i, a in enumerate(rows):
+            for b in rows[:i]:
+                if a[0] != b[0]:
+                    _pair(a, b)
+        return
+    for x, other in _in_turn(rows):
+        _pair(x, other)
+    left = [0] * len(rows)
+    place = {id(x): i for i, x in enumerate(rows)}
+    for x, other in _in_turn(sorted(rows, key=lambda x: x[3])):
+        left[place[id(x)]] = max(left[place[id(x)]], _common(x[3], other[3]))
+    # A window with n words to the left can only be shared if others share n there and the rest ahead.
+    open_ = {}
+    for x, most in zip(rows, left, strict=True):
+        for n in range(max(0, MIN_WORDS - x[6]), min(most, SPREAD) + 1):
+            if n > x[4] or MIN_WORDS - n > x[5]:
+                open_.setdefault(n, []).append(x)
+    for n, wanted in sorted(open_.items()):
+        seen: dict[bytes, int | None] = {}
+        window = lambda x, n=n: b" ".join(x[3][:n]) + b"  " + b" ".join(x[2][: MIN_WORDS - n])
+        for x in rows:
+            if len(x[3]) >= n and len(x[2]) >= MIN_WORDS - n:
+                own = window(x)
+                seen[own] = x[0] if seen.get(own, x[0]) == x[0] else None  # None: several texts
+        for x in wanted:
+            if len(x[2]) >= MIN_WORDS - n and seen[window(x)] is None:
+                x[4], x[5] = max(x[4], n), max(x[5], MIN_WORDS - n)
+
+
 COMPARED = "text_id long, start int, end int, key long, place int, ahead binary, behind binary, before int, after int, reach int"
 ORDER = ["key", "ahead", "behind", "text_id", "place"]
 STATE = ["before", "after", "reach"]
@@ -189,22 +307,15 @@ def _neighbours(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterat
     in another partition.  ``before`` and ``after`` are the words matched so far to the left and
     right, ``reach`` the longest common run to the right, which no other text exceeds.
 
-    Keys of up to ``MOST_PAIRED`` suffixes that lie wholly in the partition are compared pair by pair.
-    Of others, neighbours are: held are the suffixes of one text, and the last one of the text before.
+    Keys of up to ``MOST_HELD`` suffixes that lie wholly in the partition are settled here.  Of
+    others, neighbours are compared: held are the suffixes of one text, and the last of the text before.
     """
     out: list[tuple] = []
-    key, first_key, first, paired = None, True, True, False
+    key, first_key, first, held = None, True, True, False
     group: list[list] = []  # [text_id, place, ahead, behind, before, after, reach]
     run: list[list] = []
     before: list | None = None
 
-    def pair(a: list, b: list) -> None:
-        right, left = _common(a[2], b[2]), _common(a[3], b[3])
-        for x in (a, b):
-            x[6] = max(x[6], right)
-            if right + left >= MIN_WORDS:
-                x[4], x[5] = max(x[4], left), max(x[5], right)
-
     def span(x: list) -> None:
         if x[4] + x[5]:
             out.append((x[0], x[1] - x[4], x[1] + x[5], None, None, None, None, None, None, None))
@@ -213,7 +324,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterat
         """Rows that meet no other text in this partition any more."""
         for x in rows:
             if edge and not last:
-                out.append((x[0], None, None, key, x[1], b" ".join(x[2]), b" ".join(x[3]), *x[4:]))
+                out.append((x[0], None, None, key, x[1], _written(x[2]), _written(x[3]), *x[4:]))
                 continue
             span(x)
             if (x[4] < len(x[3]) or x[5] < x[6]) and x[6] >= KEY_WORDS and x[6] + len(x[3]) >= MIN_WORDS:
@@ -225,20 +336,16 @@ def _neighbours(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterat
         if run and (not same or run[-1][0] != row[0]):
             if same:
                 for x in run:
-                    pair(x, row)
+                    _pair(x, row)
             leave(run, first)
             before = run[-1] if same else None
             run, first = [], False
         elif before:
-            pair(before, row)
+            _pair(before, row)
         run.append(row)
 
     def settle() -> None:
-        """Compare all pairs of a key that has ended."""
-        for i, a in enumerate(group):
-            for b in group[:i]:
-                if a[0] != b[0]:
-                    pair(a, b)
+        _settle(group)
         for x in group:
             span(x)
         group.clear()
@@ -252,7 +359,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterat
 
     for batch in batches:
         for k, ahead, behind, text_id, place, *state in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            row = [text_id, place, ahead.split(b" "), behind.split(b" ") if behind else [], *state]
+            row = [text_id, place, ahead.split(), behind.split(), *state]
             same = k == key
             if key is not None and not same:
                 settle()
@@ -261,17 +368,17 @@ def _neighbours(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterat
                     run, before, first = [], None, False
                 first_key = False
             if not same:
-                paired = not first_key and not last
+                held = not first_key and not last
             key = k
-            if not paired:
+            if not held:
                 follow(row, same)
                 continue
             group.append(row)
-            if len(group) > MOST_PAIRED:
+            if len(group) > MOST_HELD:
                 for i, x in enumerate(group):
                     follow(x, i > 0)
                 group.clear()
-                paired = False
+                held = False
         if len(out) > 20_000:
             yield flushed()
     for i, x in enumerate(group):
@@ -288,24 +395,24 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, in
     """Text, MD5 and first word of each window of MIN_WORDS words that holds a suffix's first word."""
     for batch in batches:
         for ahead, behind, text_id, place in zip(*(batch.column(n).to_pylist() for n in ("ahead", "behind", "text_id", "place")), strict=True):
-            left = (behind.split(b" ") if behind else [])[::-1]
-            words = left + ahead.split(b" ")
+            left = behind.split()[::-1]
+            words = left + ahead.split()
             for i in range(min(len(left), len(words) - MIN_WORDS) + 1):
                 yield text_id, hashlib.md5(b" ".join(words[i : i + MIN_WORDS])).digest(), place - len(left) + i
 
 
 def _window_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``window, a, b``: least and greatest text of each window, for some 100,000 windows at a time."""
-    seen: dict[bytes, tuple[int, int]] = {}
+    """``window, a, b, n``: least and greatest text of each window and its places, for some 100,000 windows at a time."""
+    seen: dict[bytes, tuple[int, int, int]] = {}
 
     def made() -> pa.RecordBatch:
-        columns = [pa.array(seen, pa.binary()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())]
+        columns = [pa.array(seen, pa.binary()), *(pa.array([v[k] for v in seen.values()], pa.int64()) for k in range(3))]
         seen.clear()
-        return pa.RecordBatch.from_arrays(columns, ["window", "a", "b"])
+        return pa.RecordBatch.from_arrays(columns, ["window", "a", "b", "n"])
 
     for text_id, window, _ in _windows(batches):
-        low, high = seen.get(window, (text_id, text_id))
-        seen[window] = (min(low, text_id), max(high, text_id))
+        low, high, n = seen.get(window, (text_id, text_id, 0))
+        seen[window] = (min(low, text_id), max(high, text_id), n + 1)
         if len(seen) >= 100_000:
             yield made()
     yield made()
@@ -332,10 +439,11 @@ def passages(docs: DataFrame) -> DataFrame:
 
     Passages of a document that touch or overlap are one row.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.coalesce("text", F.lit("")).alias("text"))
-    members = cut(rows.select("doc_id", "text_id", F.when(F.length("text") >= 2 * MIN_WORDS - 1, F.size(blank_words(F.col("text")))).otherwise(0).alias("n")), "members")
-    texts = members.where(F.col("n") >= MIN_WORDS).groupBy("text_id").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), (F.min(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) != F.max(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("shared"))
+    words = F.when(F.length("text") >= 2 * MIN_WORDS - 1, F.size(blank_words(F.col("text")))).otherwise(0)
+    members = cut(rows.select("doc_id", "text_id", words.alias("n")).groupBy("doc_id", "text_id").agg(F.first("n").alias("n")), "members")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    texts = members.where(F.col("n") >= MIN_WORDS).groupBy("text_id").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), (F.min(name) != F.max(name)).alias("shared"), F.count("*").alias("copies"))
     texts = cut(texts, "texts")
 
     anchors = cut(arrow_map(rows.select("text_id", "text"), _anchors, "key long, text_id long, place int"), "anchors")
@@ -354,18 +462,19 @@ def passages(docs: DataFrame) -> DataFrame:
     compared = within.where("ahead is null").unionByName(cut(arrow_map(edges, _at_edges, COMPARED), "edges"))
     open_places = cut(compared.where("place is not null").select("key", "text_id", "place").distinct(), "open")
     around = cut(contexts.join(open_places.select("key").distinct(), "key", "left_semi"), "around", "zstd")
-    twice = arrow_map(around, _window_texts, "window binary, a long, b long").groupBy("window").agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a <> b").select("window")
+    twice = arrow_map(around, _window_texts, "window binary, a long, b long, n long").groupBy("window").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("n").alias("n")).where("a <> b").select("window", "n")
     tried = arrow_map(around.join(open_places, by_key, "left_semi"), _window_places, "window binary, text_id long, start int")
-    exact = tried.join(twice, "window", "left_semi").select("text_id", "start", (F.col("start") + MIN_WORDS).cast("int").alias("end"))
+    exact = join_hot(cut(tried, "tried"), cut(twice, "shared"), "window").select("text_id", "start", (F.col("start") + MIN_WORDS).cast("int").alias("end"))
     whole = texts.where("shared").select("text_id", F.lit(0).alias("start"), F.col("n").alias("end"))
     spans = compared.where("start is not null").select("text_id", "start", "end").union(exact).union(whole)
 
-    def join_up(acc, x):
-        last = F.element_at(acc, -1)
-        longer = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))))
-        return F.when((F.size(acc) > 0) & (x["start"] <= F.get(acc, F.size(acc) - 1)["end"]), longer).otherwise(F.concat(acc, F.array(x)))
-
-    merged = F.aggregate(F.array_sort("all"), F.expr("cast(array() as array<struct<start:int,end:int>>)"), join_up)
-    of_text = spans.groupBy("text_id").agg(F.collect_set(F.struct("start", "end")).alias("all")).select("text_id", F.explode(merged).alias("s"))
-    done = members.select(F.col("doc_id").cast(kind).alias("doc_id"), "text_id").distinct().join(of_text, "text_id")
-    return done.select("doc_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), (F.col("s.end") - F.col("s.start")).alias("n_words"))
+    # Spans that touch or overlap are one: a span begins a new one where it starts beyond all before.
+    order = Window.partitionBy("text_id").orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.distinct().withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1))
+    of_text = marked.withColumn("run", F.sum("new").over(order)).groupBy("text_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
+    # One row a text, so that those of a text with many documents meet a broadcast.
+    packed = of_text.groupBy("text_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    counted = cut(packed.join(texts.select("text_id", F.col("copies").alias("n")), "text_id"), "passages")
+    done = join_hot(members.select("doc_id", "text_id"), counted, "text_id").select("doc_id", F.explode("spans").alias("s"))
+    return done.select("doc_id", "s.start", "s.end", (F.col("s.end") - F.col("s.start")).alias("n_words"))

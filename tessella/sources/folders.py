@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[str] = []
+#: Bytes of a row group of tables that are cut: what a task holds before it writes.
+ROW_GROUP = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,5 +47,5 @@ def cut(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     several readers share one computation.
     """
     where = new_folder(df.sparkSession, label)
-    df.write.parquet(where, compression=codec)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(where, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(where)

@@ -1,4 +1,4 @@
-"""Command line: fetch, detect, heal, upsample and build products; build a tileset; copy a georeference; list tilesets."""
+"""Command line: fetch, detect, heal, upsample and build products; build a tileset; copy a georeference; list and serve tilesets."""
 
 from __future__ import annotations
 
@@ -64,6 +64,10 @@ def parser() -> argparse.ArgumentParser:
     listing = commands.add_parser("list", help="tilesets in a folder, as JSON")
     listing.add_argument("root")
     listing.add_argument("--write", action="store_true", help="into tilesets.json of the folder")
+    serve = commands.add_parser("serve", help="a folder of tilesets on the web")
+    serve.add_argument("root")
+    serve.add_argument("--host", default="127.0.0.1")
+    serve.add_argument("--port", type=int, default=8000)
     return main
 
 
@@ -151,6 +155,11 @@ def main(argv: list[str] | None = None) -> int:
 
             print(copy_georeference(args.reference, args.image, args.output, overwrite=args.overwrite, strict_size=not args.any_size, copy_nodata=args.copy_nodata))
             return 0
+        if args.command == "serve":
+            from tessella.serve import server
+
+            server(args.root, args.host, args.port).serve_forever()
+            return 0
         return COMMANDS[args.command](SparkSession.builder.appName("tessella").getOrCreate(), args)
     except (OSError, ValueError, RuntimeError) as e:
         print(f"error: {e}", file=sys.stderr)

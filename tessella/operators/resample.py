@@ -40,16 +40,30 @@ def heal(pixels: DataFrame, frames: DataFrame, colours: tuple[str, ...] = ("r",
     return met.select("sheet", "col", "row", *colours)
 
 
-def heal_image(image: np.ndarray, outer: list[int], clean: list[int]) -> np.ndarray:
-    """The same for one whole image: every row and column of the frame is looked up at its clamped place."""
-    height, width = image.shape[:2]
+def heal_bands(bands: Callable[[], Iterator[np.ndarray]], size: tuple[int, int], outer: list[int], clean: list[int]) -> Iterator[np.ndarray]:
+    """The same for an image that comes in bands of rows, from the top down, as often as it is asked for.
+
+    A first pass takes the outermost clean rows; the second looks columns up at their clamped place
+    and puts these rows over those of the frame.  One band is held.
+    """
     (x0, y0, x1, y1), (a0, b0, a1, b1) = outer, clean
-    if not (0 <= x0 < a0 < a1 < x1 <= width and 0 <= y0 < b0 < b1 < y1 <= height):
-        raise ValueError(f"no plausible frame for {width} by {height} pixels: {outer}, {clean}")
-    rows, cols = np.clip(np.arange(y0, y1), b0, b1 - 1), np.clip(np.arange(x0, x1), a0, a1 - 1)
-    done = image.copy()
-    done[y0:y1, x0:x1] = image[np.ix_(rows, cols)]
-    return done
+    if not (0 <= x0 < a0 < a1 < x1 <= size[0] and 0 <= y0 < b0 < b1 < y1 <= size[1]):
+        raise ValueError(f"no plausible frame for {size[0]} by {size[1]} pixels: {outer}, {clean}")
+    cols = np.clip(np.arange(x0, x1), a0, a1 - 1)
+    edges, at = {}, 0
+    for band in bands():
+        edges |= {r: band[r - at, cols].copy() for r in (b0, b1 - 1) if at <= r < at + len(band)}
+        at += len(band)
+    at = 0
+    for band in bands():
+        rows = np.arange(at, at + len(band))
+        done = band.copy()
+        framed = (rows >= y0) & (rows < y1)
+        done[framed, x0:x1] = band[np.ix_(framed, cols)]
+        done[framed & (rows < b0), x0:x1] = edges[b0]
+        done[framed & (rows >= b1), x0:x1] = edges[b1 - 1]
+        at += len(band)
+        yield done
 
 
 def upsample_nearest(pixels: DataFrame, keys: list[str], values: list[str], factor: int = 2) -> DataFrame:

@@ -143,18 +143,21 @@ def heal(spark: SparkSession, folder: str, series: dict, source: str | None = No
 def _heal_file(source: str, target: str, outer: list[int], clean: list[int]) -> None:
     with open(source, "rb") as f:
         data = f.read()
-    h, image = tiff.header(data), tiff.pixels(data)
-    healed = resample.heal_image(image, outer, clean)
-    side = 512
-    writer = tiff.TiledWriter(target, h.width, h.height, side, tiff.georeference_tags(h))
-    for r in range(writer.down):
+    h, side = tiff.header(data), 512
+    healed = resample.heal_bands(lambda: tiff.bands(data, h, side), (h.width, h.height), outer, clean)
+    writer = None
+    for r, band in enumerate(healed):
+        writer = writer or tiff.TiledWriter(target, h.width, h.height, side, tiff.georeference_tags(h))
         for c in range(writer.across):
-            writer.put(r, c, healed[r * side : (r + 1) * side, c * side : (c + 1) * side])
+            writer.put(r, c, band[:, c * side : (c + 1) * side])
     writer.close()
 
 
-def upsample(spark: SparkSession, folder: str, series: dict, model: str | Callable[[np.ndarray], np.ndarray] = "bicubic", source: str | None = None, force: bool = False) -> DataFrame:
-    """Double a series' sheets into the folder upscaled: ``name, blocks`` of those made now."""
+def upsample(spark: SparkSession, folder: str, series: dict, model: str | Callable[[np.ndarray], np.ndarray] = "bicubic", source: str | None = None, force: bool = False, windows: dict[str, tiff.Window] | None = None) -> DataFrame:
+    """Double a series' sheets into the folder upscaled: ``name, blocks`` of those made now.
+
+    ``windows`` cuts sheets, by name, to a window of their pixels first.
+    """
     source = source or folder
     target = os.path.join(folder, FOLDERS["upsample"])
     os.makedirs(target, exist_ok=True)
@@ -163,13 +166,22 @@ def upsample(spark: SparkSession, folder: str, series: dict, model: str | Callab
     if not todo:
         return spark.createDataFrame([], "name string, blocks long")
     named = spark.createDataFrame([(i, n) for i, n in enumerate(todo)], "ord long, sheet string")
-    blocks = tiff.raster_blocks(_files(spark, source, todo).join(named, "sheet"), resample.BLOCK)
-    sizes = spark.createDataFrame([(i, heads[n].width, heads[n].height) for i, n in enumerate(todo)], "ord long, width int, height int")
+    cuts = {i: (windows or {}).get(n) for i, n in enumerate(todo)}
+    shapes = {i: tiff.size_of(heads[n], cuts[i]) for i, n in enumerate(todo)}
+    blocks = tiff.raster_blocks(_files(spark, source, todo).join(named, "sheet"), resample.BLOCK, {i: w for i, w in cuts.items() if w})
+    sizes = spark.createDataFrame([(i, *shapes[i]) for i in cuts], "ord long, width int, height int")
     doubled = resample.upsample(blocks, sizes, model)
-    plan = {i: (os.path.join(target, n), heads[n].width * 2, heads[n].height * 2, tiff.georeference_tags(heads[n], 2)) for i, n in enumerate(todo)}
+    plan = {i: (os.path.join(target, n), 2 * shapes[i][0], 2 * shapes[i][1], tiff.georeference_tags(heads[n], 2, (cuts[i] or (0, 0))[:2])) for i, n in enumerate(todo)}
     return cut(tiff.write_blocks(doubled, plan, 2 * resample.BLOCK), "upscaled").join(named, "ord").select(F.col("sheet").alias("name"), "blocks")
 
 
+def required(folder: str, names: list[str], instead: str | None = None) -> list[str]:
+    """Of files that are put there by hand those that are missing; none if the one that stands for all is there."""
+    if instead and os.path.isfile(os.path.join(folder, instead)):
+        return []
+    return [n for n in names if not os.path.isfile(os.path.join(folder, n))]
+
+
 def folder_of(folder: str, series: dict) -> str:
     """The folder of a series' last stage."""
     last = folder

@@ -175,10 +175,44 @@ def _coloured(part: np.ndarray, h: Header) -> np.ndarray:
 def pixels(data: bytes) -> np.ndarray:
     """All pixels as RGBA bytes."""
     h = header(data)
-    image = np.zeros((h.height, h.width, 4), np.uint8)
+    return np.concatenate([np.zeros((0, h.width, 4), np.uint8), *bands(data, h, 1024)])
+
+
+Window = tuple[int, int, int, int]
+
+
+def size_of(h: Header, window: Window | None = None) -> tuple[int, int]:
+    """Width and height of an image, or of what a window (x0, y0, x1, y1) leaves of it."""
+    x0, y0, x1, y1 = window or (0, 0, h.width, h.height)
+    if not (0 <= x0 < x1 <= h.width and 0 <= y0 < y1 <= h.height):
+        raise ValueError(f"the window {window} is not inside {h.width} by {h.height} pixels")
+    return x1 - x0, y1 - y0
+
+
+def bands(data: bytes, h: Header, rows: int, window: Window | None = None) -> Iterator[np.ndarray]:
+    """The image, or a window of it, from the top down in RGBA bands of ``rows`` rows; the last may have fewer.
+
+    Strips and tiles are unpacked one at a time, and a band leaves once it is whole.
+    """
+    width, height = size_of(h, window)
+    x0, y0 = window[:2] if window else (0, 0)
+    open_: dict[int, np.ndarray] = {}
+    done = 0
     for top, left, part in chunks(data, h):
-        image[top : top + part.shape[0], left : left + part.shape[1]] = _coloured(part, h)
-    return image
+        part = part[max(0, y0 - top) : max(0, y0 + height - top), max(0, x0 - left) : max(0, x0 + width - left)]
+        if not part.size:
+            continue
+        top, left = max(top - y0, 0), max(left - x0, 0)
+        for k in range(done, top // rows):  # chunks come from the top down
+            yield open_.pop(k)
+        done = max(done, top // rows)
+        colour = _coloured(part, h)
+        for k in range(top // rows, (top + part.shape[0] - 1) // rows + 1):
+            band = open_.setdefault(k, np.zeros((min(rows, height - k * rows), width, 4), np.uint8))
+            a, b = max(top, k * rows), min(top + part.shape[0], (k + 1) * rows)
+            band[a - k * rows : b - k * rows, left : left + part.shape[1]] = colour[a - top : b - top]
+    for k in sorted(open_):
+        yield open_[k]
 
 
 def _entries(tags: dict[int, tuple[int, int, bytes]], order: str, at: int) -> bytes:
@@ -255,14 +289,15 @@ class TiledWriter:
         os.replace(self.part, self.path)
 
 
-def georeference_tags(h: Header, scale: int = 1) -> dict[int, tuple[int, int, bytes]]:
-    """The tags that carry a header's georeference, for pixels that are ``scale`` times smaller."""
+def georeference_tags(h: Header, scale: int = 1, origin: tuple[int, int] = (0, 0)) -> dict[int, tuple[int, int, bytes]]:
+    """The tags that carry a header's georeference, for pixels ``scale`` times smaller that begin at pixel ``origin``."""
     tags = {t: h.tags[t] for t in (GEO_KEYS, GEO_DOUBLES, GEO_ASCII) if t in h.tags}
     if h.order != "<":
         wide = {t: SIZES.get(k, 1) for t, (k, _, _) in tags.items()}
         tags = {t: (k, n, raw if wide[t] == 1 else np.frombuffer(raw, f"u{wide[t]}").byteswap().tobytes()) for t, (k, n, raw) in tags.items()}
     if g := h.geotransform:
-        matrix = [g[1] / scale, g[2] / scale, 0, g[0], g[4] / scale, g[5] / scale, 0, g[3], 0, 0, 0, 0, 0, 0, 0, 1]
+        x, y = origin
+        matrix = [g[1] / scale, g[2] / scale, 0, g[0] + g[1] * x + g[2] * y, g[4] / scale, g[5] / scale, 0, g[3] + g[4] * x + g[5] * y, 0, 0, 0, 0, 0, 0, 0, 1]
         tags[TRANSFORM] = (12, 16, struct.pack("<16d", *matrix))
     return tags
 
@@ -355,35 +390,23 @@ def write_blocks(blocks: DataFrame, plan: dict[int, tuple[str, int, int, dict]],
     return arrow_map(ordered, write, "ord long, blocks long")
 
 
-def raster_blocks(files: DataFrame, block: int = 256) -> DataFrame:
+def raster_blocks(files: DataFrame, block: int = 256, windows: dict[int, Window] | None = None) -> DataFrame:
     """Files (``ord, content``) to blocks ``ord, bx, by, rgba`` of ``block`` pixels, zero beyond the image.
 
-    Strips and tiles are unpacked one at a time, and a row of blocks leaves once it is whole, so a
-    task holds the packed file and the open rows of blocks only.
+    ``windows`` cuts files by ``ord`` to a window of pixels.  A task holds the packed file and the open
+    rows of blocks only.
     """
 
-    def made(order: int, by: int, rows: np.ndarray) -> pa.RecordBatch:
-        n = rows.shape[1] // block
-        parts = [rows[:, bx * block : (bx + 1) * block].tobytes() for bx in range(n)]
-        return pa.RecordBatch.from_arrays([pa.array([order] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([by] * n, pa.int32()), pa.array(parts, pa.binary())], ["ord", "bx", "by", "rgba"])
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for order, content in zip(batch.column("ord").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 h = header(content)
-                wide, rows = -(-h.width // block) * block, {}
-                done = 0
-                for top, left, part in chunks(content, h):
-                    for by in range(done, top // block):  # chunks come from the top down
-                        yield made(order, by, rows.pop(by))
-                    done = max(done, top // block)
-                    colour = _coloured(part, h)
-                    for by in range(top // block, (top + part.shape[0] - 1) // block + 1):
-                        row = rows.setdefault(by, np.zeros((block, wide, 4), np.uint8))
-                        a, b = max(top, by * block), min(top + part.shape[0], (by + 1) * block)
-                        row[a - by * block : b - by * block, left : left + part.shape[1]] = colour[a - top : b - top]
-                for by in sorted(rows):
-                    yield made(order, by, rows[by])
+                for by, band in enumerate(bands(content, h, block, (windows or {}).get(order))):
+                    n = -(-band.shape[1] // block)
+                    row = np.zeros((block, n * block, 4), np.uint8)
+                    row[: band.shape[0], : band.shape[1]] = band
+                    parts = [row[:, bx * block : (bx + 1) * block].tobytes() for bx in range(n)]
+                    yield pa.RecordBatch.from_arrays([pa.array([order] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([by] * n, pa.int32()), pa.array(parts, pa.binary())], ["ord", "bx", "by", "rgba"])
 
     return arrow_map(files.select("ord", "content"), cut, "ord long, bx int, by int, rgba binary")
 

@@ -167,6 +167,41 @@ def test_upsampled_blocks_are_seamless(spark):
             assert (got[: want.shape[0], : want.shape[1]] == want).all()
 
 
+def healed_plainly(image, outer, clean):
+    """Columns first over the frame's height, then rows over its width."""
+    (x0, y0, x1, y1), (a0, b0, a1, b1), done = outer, clean, image.copy()
+    for x in range(x0, x1):
+        done[y0:y1, x] = image[y0:y1, min(max(x, a0), a1 - 1)]
+    for y in [*range(y0, b0), *range(b1, y1)]:
+        done[y, x0:x1] = done[min(max(y, b0), b1 - 1), x0:x1]
+    return done
+
+
+@pytest.mark.parametrize("rows", [1, 7, 64, 500])
+def test_healing_by_bands(rows):
+    image = noise(90, 80, 4)
+    outer, clean = [6, 5, 75, 80], [12, 17, 70, 66]
+    bands = lambda: (image[k : k + rows] for k in range(0, 90, rows))
+    done = np.concatenate(list(resample.heal_bands(bands, (80, 90), outer, clean)))
+    assert (done == healed_plainly(image, outer, clean)).all()
+    with pytest.raises(ValueError, match="plausible"):
+        list(resample.heal_bands(bands, (80, 70), outer, clean))
+
+
+def test_windows_of_a_sheet(spark, tmp_path):
+    image = noise(100, 90, 5)
+    folder = tmp_path / "tac"
+    save(folder / "A TAC.tif", image, GT, 4326)
+    tac = catalog.one("tac")
+    products.upsample(spark, str(folder), tac, "nearest", windows={"A TAC.tif": (10, 20, 70, 95)}).collect()
+    h = tiff.read_header(str(folder / "upscaled/A TAC.tif"))
+    assert (h.width, h.height) == (120, 150) and h.geotransform[:2] == [GT[0] + 10 * GT[1], GT[1] / 2] and h.geotransform[3] == GT[3] + 20 * GT[5]
+    assert (tiff.pixels((folder / "upscaled/A TAC.tif").read_bytes())[::2, ::2, :3] == image[20:95, 10:70]).all()
+    with pytest.raises(ValueError, match="window"):
+        products.upsample(spark, str(folder), tac, windows={"A TAC.tif": (10, 20, 200, 95)}, force=True)
+    assert products.required(str(folder), ["A TAC.tif", "B.tif"]) == ["B.tif"] and products.required(str(folder), ["B.tif"], "A TAC.tif") == []
+
+
 def test_stages_of_a_series(spark, tmp_path, capsys):
     """Frames are found and healed, sheets doubled, the product built; what is up to date is left."""
     low = catalog.one("ifr-low") | {"pdf_scale": 0, "upsample_scale": 2}
@@ -185,7 +220,7 @@ def test_stages_of_a_series(spark, tmp_path, capsys):
 
     assert sorted(r.name for r in products.heal(spark, str(folder), low).collect()) == ["ENR_L01.tif", "ENR_L02.tif"]
     healed = tiff.pixels((folder / "healed/ENR_L01.tif").read_bytes())
-    assert healed[8:107, 5:150, :3].min() == 60 and (healed[:, :, :3] == resample.heal_image(image, [5, 8, 150, 107], [15, 18, 140, 97])).all()
+    assert healed[8:107, 5:150, :3].min() == 60 and (healed[..., :3] == healed_plainly(image, [5, 8, 150, 107], [15, 18, 140, 97])).all()
     assert products.heal(spark, str(folder), low).count() == 0
     assert products.heal(spark, str(folder), low, force=True).count() == 2
 
@@ -260,3 +295,31 @@ def test_archives_are_fetched_with_retries(spark, server, tmp_path):
     assert sorted(os.listdir(tmp_path / "low")) == ["ENR_L01.tif", "pdf"]
     row = fetch.outcome(spark.createDataFrame(done, "url string, archive string, files array<string>, bytes long, seconds double, error string")).first()
     assert (row.done, row.failed, row.names) == (2, 3, "bad.zip, lost.zip, none.zip")
+
+
+def test_tilesets_are_served(tmp_path):
+    import urllib.error
+    import urllib.request
+
+    from tessella import serve
+
+    (tmp_path / "b/3/1").mkdir(parents=True)
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b/metadata.json").write_text('{"name": "B"}')
+    (tmp_path / "a/metadata.json").write_text("{broken")
+    (tmp_path / "b/3/1/2.png").write_bytes(png.encoded(np.zeros((4, 4, 4), np.uint8)))
+    httpd = serve.server(str(tmp_path), port=0)
+    threading.Thread(target=httpd.serve_forever, daemon=True).start()
+    root = f"http://127.0.0.1:{httpd.server_address[1]}"
+    listed = lambda: json.load(urllib.request.urlopen(f"{root}/tilesets.json"))
+    assert listed() == [{"path": "a", "name": "a", "valid": False}, {"path": "b", "name": "B", "valid": True}]
+    (tmp_path / "metadata.json").write_text("{}")
+    assert listed()[0] == {"path": "", "name": "tileset", "valid": True}, "each request looks again"
+    tile = urllib.request.urlopen(f"{root}/b/3/1/2.png")
+    assert tile.headers["Content-Type"] == "image/png" and tile.headers["Access-Control-Allow-Origin"] == "*" and tile.headers["Cache-Control"] is None
+    assert urllib.request.urlopen(f"{root}/b/metadata.json").headers["Cache-Control"] == "no-cache"
+    with pytest.raises(urllib.error.HTTPError, match="404"):
+        urllib.request.urlopen(f"{root}/b/3/1/3.png")
+    httpd.shutdown()
+    with pytest.raises(FileNotFoundError):
+        serve.server(str(tmp_path / "none"))

@@ -234,16 +234,19 @@ def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     Everything is one pass over the spans: a span that begins inside an earlier one only extends
     it, so the text between is cut where each span begins beyond all before.
     """
+    return let(spans, lambda s: F.when(F.size(s) == 0, text).otherwise(_masked(text, s, mask)))
 
-    def reach(ends: Column) -> Column:
-        """The greatest end of all earlier spans, for each span; blocks of 64 keep it near linear."""
-        block = 64
-        greatest = lambda part: F.coalesce(F.array_max(part), F.lit(0).cast("long"))
-        highs = lambda: F.transform(F.sequence(F.lit(1), F.size(ends), F.lit(block)), lambda s: F.array_max(F.slice(ends, s, block)))
-        return let(highs(), lambda high: F.transform(ends, lambda _, i: F.greatest(greatest(F.slice(high, 1, (i / block).cast("int"))), greatest(F.slice(ends, i - i % block + 1, i % block)))))
 
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    block = 64
     size = 4096  # characters of a chunk; substrings are cut from chunks, as each walks to its place
 
+    def reach(ends: Column) -> Column:
+        """The greatest end of all earlier spans, for each span; blocks keep it near linear."""
+        greatest = lambda part: F.coalesce(F.array_max(part), F.lit(0).cast("long"))
+        highs = F.transform(F.sequence(F.lit(1), F.size(ends), F.lit(block)), lambda s: F.array_max(F.slice(ends, s, block)))
+        return let(highs, lambda high: F.transform(ends, lambda _, i: F.greatest(greatest(F.slice(high, 1, (i / block).cast("int"))), greatest(F.slice(ends, i - i % block + 1, i % block)))))
+
     def cut(chunks: Column, low: Column, high: Column) -> Column:
         a, b = F.floor(low / size).cast("int"), F.floor(high / size).cast("int")
         first, last = F.get(chunks, a), F.coalesce(F.get(chunks, b), F.lit(""))
@@ -258,5 +261,5 @@ def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
         last = F.greatest(F.get(earlier, F.size(earlier) - 1), F.element_at(spans, -1)["end"])
         return F.concat(F.array_join(parts, ""), cut(chunks, last, F.length(text).cast("long")))
 
-    known = F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0)).alias("chunks"), reach(F.transform(spans, lambda s: s["end"])).alias("earlier"))
-    return F.when(F.size(spans) == 0, text).otherwise(let(known, pieces))
+    ends = let(F.transform(spans, lambda s: s["end"]), reach)
+    return let(F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0)).alias("chunks"), ends.alias("earlier")), pieces)

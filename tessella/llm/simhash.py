@@ -87,10 +87,10 @@ def _keys() -> Column:
     return F.array(*parts)
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Links among the members of each key; ``v`` is null for members that go the exact way.
 
-    Rows come sorted by key.  At most ``MOST_MEMBERS`` members are held; the first and the last
+    Rows come sorted by key.  At most ``most`` members are held; the first and the last
     key of the partition may continue in another one, so their members go the exact way.
     """
     key, members, first, many = None, [], True, False
@@ -128,7 +128,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first = first and key is None
                 key, many = k, False
                 members.clear()
-            if len(members) == MOST_MEMBERS:  # pass them on and hold the rest only
+            if len(members) == most:  # pass them on and hold the rest only
                 many = True
                 us.extend(members)
                 vs.extend([None] * len(members))
@@ -142,8 +142,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(distinct: DataFrame) -> DataFrame:
     """Links ``u, v`` among the distinct fingerprints ``fp``, enough for the exact components."""
-    keyed = distinct.select("fp", F.explode(_keys()).alias("key"))
-    tried = cut(arrow_map(keyed.repartitionByRange("key", "fp").sortWithinPartitions("key", "fp"), _compare, "u long, v long"), "links")
+    keyed, most = distinct.select("fp", F.explode(_keys()).alias("key")), MOST_MEMBERS
+    tried = cut(arrow_map(keyed.repartitionByRange("key", "fp").sortWithinPartitions("key", "fp"), lambda batches: _compare(batches, most), "u long, v long"), "links")
     rest = tried.where("v is null").select("u").distinct()
     variants = F.array(F.col("u"), *(F.col("u").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for b in range(64)))
     # 65 members of a word at most.

@@ -9,18 +9,18 @@ both, and at least ``KEY_WORDS`` words of the passage follow there.
 1. Retained suffixes are sorted over the cluster by a hash of their first ``KEY_WORDS`` words; those
    whose hash only one text has go.  Equal texts count as one text (by 64-bit hash) and are
    handled once.
-2. The others are sorted by (hash, words to the right, words to the left, read backwards), so that
-   no frequent passage meets in one task.  Neighbours of different texts are compared, and the
-   match is extended right by up to ``MIN_WORDS`` and left by up to ``SPREAD`` words, which overlaps
-   with the next retained suffix; so the union of matches of ``MIN_WORDS`` or more words covers a
-   passage of any length.  Suffixes at a partition's edges are compared with those across in one
-   more step, which has the suffixes of two texts for each partition.
-3. A neighbour on the right may differ on the left from a third suffix that would match, or match
-   longer.  Keys whose suffixes lie in one partition, up to ``MOST_HELD`` of them, are therefore
-   sorted a second time, by their left, which gives the longest match on that side; where both
-   bounds leave room, windows of ``MIN_WORDS`` words around the key's suffixes are compared there.
-   Suffixes of larger keys and of those at a partition's edges whose match does not reach both
-   limits are decided exactly as well, by the MD5 of such windows over the cluster.
+2. The others get their contexts, ``MIN_WORDS`` words to the right and up to ``SPREAD`` to the left,
+   which overlaps with the next retained suffix; so the union of matches of ``MIN_WORDS`` or more
+   words covers a passage of any length.  They are sorted over the cluster by (hash, right, left
+   read backwards), so that no frequent passage meets in one task.  Equal contexts lie side by side
+   and become one node; where several texts have it, all its places match to both limits.
+3. Nodes of a key that lies in one partition are settled there: neighbours are compared, and the
+   match is extended right and left.  A neighbour on the right may differ on the left from a third
+   one that would match longer, so nodes are sorted a second time by their left, which bounds the
+   match on that side; where both bounds leave room, windows of ``MIN_WORDS`` words are compared.
+4. Keys that go across a partition's edge meet again by key, nodes instead of suffixes, and are
+   settled in the same way.  Keys of more than ``MOST_HELD`` nodes never meet: the MD5 of all windows
+   of ``MIN_WORDS`` words in their nodes is compared over the cluster, which is exact as well.
 
 A text that is itself held by several documents is a passage as a whole if it has MIN_WORDS words.
 
@@ -32,7 +32,7 @@ looked at.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ MIN_WORDS, GRAM, SPREAD = 50, 8, 30
 KEY_WORDS = MIN_WORDS - SPREAD
 #: Most texts whose ids are broadcast to leave out documents without a repeated suffix.
 MOST_TEXTS = 1_000_000
-#: Most suffixes of a key that are held at once, and most that are compared pair by pair.
+#: Most nodes of a key that are held at once, and most that are compared pair by pair.
 MOST_HELD, MOST_PAIRED = 8192, 16
 #: Text bytes that are hashed at once.
 CHUNK = 1 << 20
@@ -225,6 +225,8 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = text.encode().split()
             for x in kept:
                 p = x["place"]
+                if min(p, SPREAD) + min(len(words) - p, MIN_WORDS) < MIN_WORDS:
+                    continue  # no passage is long enough here
                 rows.append((x["key"], _written(words[p : p + MIN_WORDS]), _written(words[max(0, p - SPREAD) : p][::-1]), text_id, p))
         for low in range(0, len(rows), 5000):
             columns = zip(*rows[low : low + 5000], strict=True)
@@ -241,194 +243,177 @@ def _common(a: list[bytes], b: list[bytes]) -> int:
     return n
 
 
-def _pair(a: list, b: list) -> None:
-    """Take the match of two suffixes into both: ``[text_id, place, ahead, behind, before, after, reach]``."""
-    right, left = _common(a[2], b[2]), _common(a[3], b[3])
+class _Node:
+    """A context: the text that has it (None: several) and where; words matched to the left and right; the longest run on the right."""
+
+    __slots__ = ("after", "ahead", "before", "behind", "places", "raw", "reach", "text")
+
+    def __init__(self, ahead: bytes, behind: bytes, text: int | None, places: list[int]):
+        self.raw, self.text, self.places = (ahead, behind), text, places
+        self.ahead, self.behind = ahead.split(), behind.split()
+        self.before = self.after = self.reach = 0
+
+
+def _pair(a: _Node, b: _Node) -> None:
+    """Take the match of two nodes into both."""
+    right, left = _common(a.ahead, b.ahead), _common(a.behind, b.behind)
     for x in (a, b):
-        x[6] = max(x[6], right)
+        x.reach = max(x.reach, right)
         if right + left >= MIN_WORDS:
-            x[4], x[5] = max(x[4], left), max(x[5], right)
+            x.before, x.after = max(x.before, left), max(x.after, right)
 
 
-def _in_turn(rows: list[list]) -> Iterator[tuple[list, list]]:
-    """Each row, in an order, with the nearest row of another text before it, and with the nearest behind it."""
-    for line in (rows, rows[::-1]):
-        other: list | None = None  # the last row of a text other than the one before
-        for before, x in zip([None, *line], line, strict=False):
-            if before is not None and before[0] != x[0]:
-                other = before
+def _in_turn(nodes: list[_Node]) -> Iterator[tuple[_Node, _Node]]:
+    """Each node, in an order, with the nearest one of another text before it, and with the nearest behind it."""
+    for line in (nodes, nodes[::-1]):
+        other: _Node | None = None
+        for last, x in zip([None, *line], line, strict=False):
+            if last is not None and (last.text is None or last.text != x.text):
+                other = last
             if other is not None:
                 yield x, other
 
 
-def _settle(rows: list[list]) -> None:
-    """Find how far each suffix of one whole key matches another text; rows come sorted by what is ahead."""
-    if len(rows) <= MOST_PAIRED:
-        for i, a in enumerate(rows):
-            for b in rows[:i]:
-                if a[0] != b[0]:
+def _settle(nodes: list[_Node], most_paired: int) -> None:
+    """Find how far each node of one whole key matches another text; nodes come sorted by what is ahead."""
+    if len(nodes) <= most_paired:
+        for i, a in enumerate(nodes):
+            for b in nodes[:i]:
+                if a.text is None or a.text != b.text:
                     _pair(a, b)
         return
-    for x, other in _in_turn(rows):
+    for x, other in _in_turn(nodes):
         _pair(x, other)
-    left = [0] * len(rows)
-    place = {id(x): i for i, x in enumerate(rows)}
-    for x, other in _in_turn(sorted(rows, key=lambda x: x[3])):
-        left[place[id(x)]] = max(left[place[id(x)]], _common(x[3], other[3]))
+    left = dict.fromkeys(map(id, nodes), 0)
+    for x, other in _in_turn(sorted(nodes, key=lambda x: x.behind)):
+        left[id(x)] = max(left[id(x)], _common(x.behind, other.behind))
     # A window with n words to the left can only be shared if others share n there and the rest ahead.
-    open_ = {}
-    for x, most in zip(rows, left, strict=True):
-        for n in range(max(0, MIN_WORDS - x[6]), min(most, SPREAD) + 1):
-            if n > x[4] or MIN_WORDS - n > x[5]:
-                open_.setdefault(n, []).append(x)
-    for n, wanted in sorted(open_.items()):
+    unsure: dict[int, list[_Node]] = {}
+    for x in nodes:
+        for n in range(max(0, MIN_WORDS - x.reach), min(left[id(x)], SPREAD) + 1):
+            if x.text is not None and (n > x.before or MIN_WORDS - n > x.after):
+                unsure.setdefault(n, []).append(x)
+    for n, wanted in unsure.items():
         seen: dict[bytes, int | None] = {}
-        window = lambda x, n=n: b" ".join(x[3][:n]) + b"  " + b" ".join(x[2][: MIN_WORDS - n])
-        for x in rows:
-            if len(x[3]) >= n and len(x[2]) >= MIN_WORDS - n:
+        window = lambda x, n=n: _written(x.behind[:n]) + b" " + _written(x.ahead[: MIN_WORDS - n])
+        for x in nodes:
+            if len(x.behind) >= n and len(x.ahead) >= MIN_WORDS - n:
                 own = window(x)
-                seen[own] = x[0] if seen.get(own, x[0]) == x[0] else None  # None: several texts
+                seen[own] = x.text if seen.get(own, x.text) == x.text else None  # None: several texts
         for x in wanted:
-            if len(x[2]) >= MIN_WORDS - n and seen[window(x)] is None:
-                x[4], x[5] = max(x[4], n), max(x[5], MIN_WORDS - n)
-
+            if seen[window(x)] is None:
+                x.before, x.after = max(x.before, n), max(x.after, MIN_WORDS - n)
 
-COMPARED = "text_id long, start int, end int, key long, place int, ahead binary, behind binary, before int, after int, reach int"
-ORDER = ["key", "ahead", "behind", "text_id", "place"]
-STATE = ["before", "after", "reach"]
 
+COMPARED = "text_id long, start int, end int, key long, ahead binary, behind binary, places array<int>"
+ORDER = ["key", "ahead", "behind", "text_id"]
 
-def _neighbours(batches: Iterator[pa.RecordBatch], last: bool = False) -> Iterator[pa.RecordBatch]:
-    """Compare suffixes of different texts in rows sorted by :data:`ORDER`.
 
-    Three kinds of rows come out: spans ``text_id, start, end`` of matches; suffixes ``key, text_id,
-    place`` that a text not compared might match longer; and, unless this is the ``last`` step, the
-    suffixes of the partition's first and last text as they are, since their other neighbour lies
-    in another partition.  ``before`` and ``after`` are the words matched so far to the left and
-    right, ``reach`` the longest common run to the right, which no other text exceeds.
+def _settled(whole: bool, most_held: int, most_paired: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Settle keys of rows ``key, ahead, behind, text_id, places`` in :data:`ORDER`.
 
-    Keys of up to ``MOST_HELD`` suffixes that lie wholly in the partition are settled here.  Of
-    others, neighbours are compared: held are the suffixes of one text, and the last of the text before.
+    Two kinds of rows come out: spans ``text_id, start, end`` of matches, and, unless all keys are
+    ``whole``, the nodes of keys that may go on in another partition or have over ``most_held`` nodes.
     """
-    out: list[tuple] = []
-    key, first_key, first, held = None, True, True, False
-    group: list[list] = []  # [text_id, place, ahead, behind, before, after, reach]
-    run: list[list] = []
-    before: list | None = None
-
-    def span(x: list) -> None:
-        if x[4] + x[5]:
-            out.append((x[0], x[1] - x[4], x[1] + x[5], None, None, None, None, None, None, None))
-
-    def leave(rows: list[list], edge: bool) -> None:
-        """Rows that meet no other text in this partition any more."""
-        for x in rows:
-            if edge and not last:
-                out.append((x[0], None, None, key, x[1], _written(x[2]), _written(x[3]), *x[4:]))
-                continue
-            span(x)
-            if (x[4] < len(x[3]) or x[5] < x[6]) and x[6] >= KEY_WORDS and x[6] + len(x[3]) >= MIN_WORDS:
-                out.append((x[0], None, None, key, x[1], None, None, None, None, None))
-
-    def follow(row: list, same: bool) -> None:
-        """Take the next row in order, of the ``same`` key as the one before it or not."""
-        nonlocal run, first, before
-        if run and (not same or run[-1][0] != row[0]):
-            if same:
-                for x in run:
-                    _pair(x, row)
-            leave(run, first)
-            before = run[-1] if same else None
-            run, first = [], False
-        elif before:
-            _pair(before, row)
-        run.append(row)
-
-    def settle() -> None:
-        _settle(group)
-        for x in group:
-            span(x)
-        group.clear()
-
-    def flushed() -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) or [()] * 10
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32()]
-        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [c.split(" ")[0] for c in COMPARED.split(", ")])
-        out.clear()
-        return batch
-
-    for batch in batches:
-        for k, ahead, behind, text_id, place, *state in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            row = [text_id, place, ahead.split(), behind.split(), *state]
-            same = k == key
-            if key is not None and not same:
-                settle()
-                if run:
-                    leave(run, first)
-                    run, before, first = [], None, False
-                first_key = False
-            if not same:
-                held = not first_key and not last
-            key = k
-            if not held:
-                follow(row, same)
-                continue
-            group.append(row)
-            if len(group) > MOST_HELD:
-                for i, x in enumerate(group):
-                    follow(x, i > 0)
-                group.clear()
-                held = False
-        if len(out) > 20_000:
-            yield flushed()
-    for i, x in enumerate(group):
-        follow(x, i > 0)
-    leave(run, True)
-    yield flushed()
-
-
-def _at_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _neighbours(batches, last=True)
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, int]]:
-    """Text, MD5 and first word of each window of MIN_WORDS words that holds a suffix's first word."""
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        nodes: list[_Node] = []
+        key, first, big = None, True, False
+
+        def spans(text: int | None, places: list[int], before: int, after: int) -> None:
+            out.extend((text, p - before, p + after, None, None, None, None) for p in places)
+
+        def leave() -> None:
+            out.extend((x.text, None, None, key, *x.raw, x.places) for x in nodes)
+
+        def close(edge: bool) -> None:
+            if (edge and not whole) or big:
+                leave()
+            else:
+                _settle(nodes, most_paired)
+                for x in nodes:
+                    if x.text is not None and x.before + x.after:
+                        spans(x.text, x.places, x.before, x.after)
+            nodes.clear()
+
+        def flushed() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [()] * len(types)
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [c.split(" ")[0] for c in COMPARED.split(", ")])
+            out.clear()
+            return batch
+
+        for batch in batches:
+            for k, ahead, behind, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != key:
+                    if key is not None:
+                        close(first)
+                        first = False
+                    key, big = k, False
+                last = nodes[-1] if nodes else None
+                if last is None or last.raw != (ahead, behind):
+                    if len(nodes) >= most_held:
+                        leave()
+                        nodes.clear()
+                        big = True
+                    nodes.append(_Node(ahead, behind, text, places))
+                elif text is not None and text == last.text:
+                    last.places.extend(places)
+                else:  # a context of several texts matches as far as it goes
+                    for t, p in ((last.text, last.places), (text, places)):
+                        spans(t, p, len(last.behind), len(last.ahead))
+                    last.text, last.places = None, []
+            if len(out) > 20_000:
+                yield flushed()
+        if key is not None:
+            close(True)
+        yield flushed()
+
+    return run
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes, int, list[int]]]:
+    """Text (None: several), MD5, words to the left and places of each window of MIN_WORDS words that holds a node's first word."""
     for batch in batches:
-        for ahead, behind, text_id, place in zip(*(batch.column(n).to_pylist() for n in ("ahead", "behind", "text_id", "place")), strict=True):
+        for ahead, behind, text, places in zip(*(batch.column(n).to_pylist() for n in ("ahead", "behind", "text_id", "places")), strict=True):
             left = behind.split()[::-1]
             words = left + ahead.split()
             for i in range(min(len(left), len(words) - MIN_WORDS) + 1):
-                yield text_id, hashlib.md5(b" ".join(words[i : i + MIN_WORDS])).digest(), place - len(left) + i
+                yield text, hashlib.md5(b" ".join(words[i : i + MIN_WORDS])).digest(), len(left) - i, places
 
 
 def _window_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``window, a, b, n``: least and greatest text of each window and its places, for some 100,000 windows at a time."""
     seen: dict[bytes, tuple[int, int, int]] = {}
+    every = (-(1 << 63), (1 << 63) - 1)
 
     def made() -> pa.RecordBatch:
         columns = [pa.array(seen, pa.binary()), *(pa.array([v[k] for v in seen.values()], pa.int64()) for k in range(3))]
         seen.clear()
         return pa.RecordBatch.from_arrays(columns, ["window", "a", "b", "n"])
 
-    for text_id, window, _ in _windows(batches):
-        low, high, n = seen.get(window, (text_id, text_id, 0))
-        seen[window] = (min(low, text_id), max(high, text_id), n + 1)
+    for text, window, _, places in _windows(batches):
+        low, high = every if text is None else (text, text)
+        least, most, n = seen.get(window, (low, high, 0))
+        seen[window] = (min(least, low), max(most, high), n + len(places))
         if len(seen) >= 100_000:
             yield made()
     yield made()
 
 
 def _window_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``window, text_id, start`` of every window."""
+    """``window, text_id, start`` of every window of a node that one text has."""
     rows: list[tuple] = []
 
     def made() -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) or [()] * 3
         rows.clear()
-        return pa.RecordBatch.from_arrays([pa.array(columns[1], pa.binary()), pa.array(columns[0], pa.int64()), pa.array(columns[2], pa.int32())], ["window", "text_id", "start"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int32()), strict=True)], ["window", "text_id", "start"])
 
-    for row in _windows(batches):
-        rows.append(row)
+    for text, window, left, places in _windows(batches):
+        if text is not None:
+            rows.extend((window, text, p - left) for p in places)
         if len(rows) >= 20_000:
             yield made()
     yield made()
@@ -456,17 +441,20 @@ def passages(docs: DataFrame) -> DataFrame:
     with_text = some.join(one, (F.col("text_id") == F.col("__id")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "text_id", "kept")
     contexts = cut(arrow_map(with_text, _contexts, "key long, ahead binary, behind binary, text_id long, place int"), "contexts", "zstd")
 
-    fresh = contexts.select(*ORDER, *(F.lit(0).alias(c) for c in STATE))
-    within = cut(arrow_map(fresh.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER), _neighbours, COMPARED), "compared", "zstd")
-    edges = within.where("ahead is not null").select(*ORDER, *STATE).coalesce(1).sortWithinPartitions(*ORDER)
-    compared = within.where("ahead is null").unionByName(cut(arrow_map(edges, _at_edges, COMPARED), "edges"))
-    open_places = cut(compared.where("place is not null").select("key", "text_id", "place").distinct(), "open")
-    around = cut(contexts.join(open_places.select("key").distinct(), "key", "left_semi"), "around", "zstd")
+    columns = [*ORDER, F.array("place").alias("places")]
+    within = arrow_map(contexts.repartitionByRange(*ORDER, "place").sortWithinPartitions(*ORDER, "place").select(*columns), _settled(False, MOST_HELD, MOST_PAIRED), COMPARED)
+    within = cut(within, "compared", "zstd")
+    nodes = within.where("key is not null").select(*ORDER, "places")
+    large = cut(nodes.groupBy("key").count().where(F.col("count") > MOST_HELD).select("key"), "large-keys")
+    few = F.broadcast(large) if large.count() <= MOST_TEXTS else large
+    rest = nodes.join(few, "key", "left_anti").repartition("key").sortWithinPartitions(*ORDER)
+    across = cut(arrow_map(rest, _settled(True, MOST_HELD, MOST_PAIRED), COMPARED), "across")
+    around = nodes.join(few, "key", "left_semi")
     twice = arrow_map(around, _window_texts, "window binary, a long, b long, n long").groupBy("window").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("n").alias("n")).where("a <> b").select("window", "n")
-    tried = arrow_map(around.join(open_places, by_key, "left_semi"), _window_places, "window binary, text_id long, start int")
+    tried = arrow_map(around, _window_places, "window binary, text_id long, start int")
     exact = join_hot(cut(tried, "tried"), cut(twice, "shared"), "window").select("text_id", "start", (F.col("start") + MIN_WORDS).cast("int").alias("end"))
     whole = texts.where("shared").select("text_id", F.lit(0).alias("start"), F.col("n").alias("end"))
-    spans = compared.where("start is not null").select("text_id", "start", "end").union(exact).union(whole)
+    spans = within.where("start is not null").union(across.where("start is not null")).select("text_id", "start", "end").union(exact).union(whole)
 
     # Spans that touch or overlap are one: a span begins a new one where it starts beyond all before.
     order = Window.partitionBy("text_id").orderBy("start", "end")

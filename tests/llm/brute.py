@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 import re
+from collections import Counter
+from statistics import NormalDist
 
 import xxhash
 
@@ -103,3 +106,53 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> int:
         used += gap == capacity
         bisect.insort(gaps, gap - n)
     return used
+
+
+def battery(token: str, encodings, effect: float) -> tuple[int, int, float, float]:
+    """Length, alphabet size, chi-squared and the larger p-value of the runs and serial tests of one run."""
+    alphabet = next(a for _, p, a in encodings if not p or re.fullmatch(p, token))
+    v = [alphabet.index(c) for c in token.replace("-", "+").replace("_", "/")]
+    n, k, cdf = len(v), len(alphabet), NormalDist().cdf
+    chi = sum((c - n / k) ** 2 / (n / k) for c in (Counter(v)[i] for i in range(k)))
+    sides = [x >= k / 2 for x in v]
+    high = sum(sides)
+    low, runs = n - high, 1 + sum(a != b for a, b in zip(sides, sides[1:], strict=False))
+    expected, p_runs = 2 * high * low / n + 1, 1.0
+    spread = 2 * high * low * (2 * high * low - n) / (n * n * (n - 1))
+    if spread > 0:
+        p_runs = cdf(abs(runs - expected) / math.sqrt(spread) - effect * math.sqrt(n))
+    mean = sum(v) / n
+    around, p_serial = sum((x - mean) ** 2 for x in v), 1.0
+    if around > 0:
+        p_serial = cdf((abs(sum((a - mean) * (b - mean) for a, b in zip(v, v[1:], strict=False)) / around) - effect) * math.sqrt(n))
+    return n, k, chi, max(p_runs, p_serial)
+
+
+def random_spans(texts: list, candidate: str, encodings, effect: float, fdr: float, least_runs: int) -> list[list[tuple[int, int]]]:
+    """Per text the spans that the length-weighted Benjamini-Hochberg rule finds, p-values rounded up to 64 steps a decade."""
+    found = [(i, m.start(), m.end(), *battery(m[0], encodings, effect)) for i, t in enumerate(texts) for m in re.finditer(candidate, t or "")]
+    out: list[list[tuple[int, int]]] = [[] for _ in texts]
+    if not found:
+        return out
+    median = lambda values: sorted(values)[math.ceil(len(values) / 2) - 1]
+    uneven, wide = {}, {}
+    for k in {f[4] for f in found}:
+        runs = [f for f in found if f[4] == k]
+        typical = median([(f[5] - k + 1) / (f[3] - 1) for f in runs])
+        if len(runs) >= least_runs and typical > 1:
+            uneven[k] = typical
+    z = lambda n, k, chi: (chi - (k - 1 + n * uneven.get(k, 1.0))) / math.sqrt(2 * (k - 1 + 2 * n * uneven.get(k, 1.0)))
+    for k in uneven:
+        above = [x for x in (z(*f[3:6]) for f in found if f[4] == k) if x > 0]
+        wide[k] = max(1.0, median(above) / 0.6745) if above else 1.0
+    mean = sum(f[3] for f in found) / len(found)
+    steps = []
+    for f in found:
+        p = max(NormalDist().cdf(z(*f[3:6]) / wide.get(f[4], 1.0)), f[6])
+        p = min(1.0, p * mean / f[3])
+        steps.append(1024 if p <= 0 else min(1024, math.floor(-64 * math.log10(p))))
+    good = [b for b in set(steps) if 10 ** (-b / 64) * len(found) <= fdr * sum(s >= b for s in steps)]
+    for f, b in zip(found, steps, strict=True):
+        if good and b >= min(good):
+            out[f[0]].append((f[1], f[2]))
+    return out

@@ -45,3 +45,41 @@ def test_stages(spark):
     packed = stage["best_fit_packing"](spark, masked, SF)
     assert {r.doc_id for r in packed.collect()} == set(ids)
     assert pipeline.run(spark, SF).count() == packed.count()
+
+
+def tables(spark, tmp_path, rows):
+    """A folder of tables with these documents, extra columns among them, and no labels or items."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, key string, masked string, quality string"
+    spark.createDataFrame([(*r, "a", "b", "c", "d") for r in rows], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(None, "an item without an id"), (1, None), (2, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    return str(tmp_path)
+
+
+def test_empty_tables_pass_through(spark, tmp_path):
+    assert pipeline.run(spark, tables(spark, tmp_path, [])).count() == 0
+
+
+def test_nulls_and_clashing_names_pass_through(spark, tmp_path):
+    words = lambda seed: " ".join(f"w{seed}x{i}" for i in range(60))
+    rows = [
+        (1, words(1), "en", None, 300),
+        (None, words(2), None, "s", None),
+        (None, words(2), None, "s", None),
+        (3, None, "en", "s", 0),
+        (4, "", None, None, None),
+        (5, words(3) + " password=hunter2hunter2hunter2 " + words(4), "en", "s", 999),
+        (6, words(5), None, None, None),
+        (6, words(6), None, None, None),
+    ]
+    sf = tables(spark, tmp_path, rows)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in pipeline.STAGES[:-1]:
+        done = cut(stage(spark, docs, sf), "t")
+        assert done.columns == docs.columns, name
+        assert done.where("row <> 'a' or key <> 'b' or masked <> 'c' or quality <> 'd'").count() == 0
+        docs = done
+    left = {r.doc_id: r for r in docs.collect()}
+    assert docs.count() == 5 and set(left) == {1, None, 5, 6}
+    assert "hunter2" not in left[5].text and "[SECRET]" in left[5].text and left[5].n_chars == len(left[5].text) and left[1].n_chars == 300
+    assert {r.doc_id for r in pipeline.run(spark, sf).collect()} == {1, None, 5, 6}

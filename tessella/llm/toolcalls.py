@@ -306,6 +306,7 @@ def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     first = lambda *names: (F.first(c).alias(c) for c in names)
     heads = cut(parsed.groupBy("key").agg(*first("conv_id", "turn", "place", "kind", "call_id", "depends_on"), F.count("*").alias("copies")), "events", "zstd")
     whole = parsed.groupBy("key").agg(*first("conv_id", "turn", "place", "call_id", "name", "arguments", "errors", "content")).join(links(heads), "key")
+    whole = cut(whole, "contents", "zstd")
     answers = whole.where("status = 'answer'").select(F.col("target").alias("_target"), F.col("content").alias("answer"))
     calls = whole.where("status in ('linked', 'unanswered')").join(answers, F.col("key") == F.col("_target"), "left").drop("_target")
     others = whole.where("status in ('repeated', 'early', 'orphan')").withColumn("answer", F.col("content"))

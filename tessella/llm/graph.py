@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.shared import cut
+from tessella.llm.shared import cut, join_hot
 
 
 def _to_least(pairs: DataFrame, both_ways: bool) -> DataFrame:
@@ -15,8 +15,8 @@ def _to_least(pairs: DataFrame, both_ways: bool) -> DataFrame:
     point from node to smaller neighbour, and the node itself is linked as well.
     """
     around = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))) if both_ways else pairs
-    least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = around.join(least, "u")
+    least = cut(around.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
+    joined = join_hot(around, least, "u")  # the centre of a large component has many neighbours
     if both_ways:
         return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     linked = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))

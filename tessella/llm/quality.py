@@ -143,7 +143,7 @@ def calibrate(judged: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     per = counts.groupBy("stratum").agg(F.sum("g").alias("n_good"), F.sum("b").alias("n_bad"), F.collect_list(F.struct("reject_level", "g", "b")).alias("rows"))
     upto = lambda name, j: F.aggregate(F.filter("rows", lambda r: r["reject_level"] <= j), F.lit(0).cast("long"), lambda a, r: a + r[name])
     tried = (
-        per.withColumn("strata", F.count("*").over(Window.partitionBy()))
+        per.join(F.broadcast(per.agg(F.count("*").alias("strata"))))  # one row
         .withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(LEVELS))))
         .select("stratum", "strata", "n_good", "n_bad", "level", upto("g", F.col("level")).alias("k_good"), upto("b", F.col("level")).alias("k_bad"))
         .withColumn("p_value", F.when(F.col("n_good") > 0, binomial_cdf(F.col("k_good"), F.col("n_good"), alpha)).otherwise(1.0))
@@ -164,4 +164,4 @@ def apply_cutoffs(judged: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 def cutoffs_of(judged: DataFrame, labels: DataFrame) -> DataFrame:
     """:func:`calibrate` with its small result written, so that it is computed once."""
-    return cut(calibrate(judged, labels).coalesce(1), "quality-cutoffs")
+    return cut(calibrate(judged, labels), "quality-cutoffs")

@@ -12,7 +12,7 @@ from tessella.plans import area, tiles, views
 from tessella.plans import catalog as charts
 from tessella.plans.views import with_views
 from tessella.registry import ORACLE_SQL, QUERIES, query
-from tessella import catalog_rules  # noqa: F401  (registers its queries)
+from tessella import catalog_rasters, catalog_rules  # noqa: F401  (they register their queries)
 from tessella.catalog_sheets import fit_sql
 from tessella.sources import archives, png
 from tessella.sources.folders import cut

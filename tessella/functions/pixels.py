@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Half an 8-bit step: alpha at most this is blank.
@@ -44,3 +44,8 @@ def paper(r: Column, g: Column, b: Column, least: int = PAPER) -> Column:
 
 def chroma(r: Column, g: Column, b: Column) -> Column:
     return (F.greatest(r, g, b) - F.least(r, g, b)) > CHROMA
+
+
+def through_palette(indices: DataFrame, palette: DataFrame, sheet: str = "sheet", index: str = "idx") -> DataFrame:
+    """Pixels with the colours that their sheet's palette has for their index; an index it lacks gives no pixel."""
+    return indices.join(palette, [sheet, index])

@@ -56,3 +56,9 @@ def imagery_extent(west: Column, south: Column, east: Column, north: Column) ->
     """Bounds for a viewer without antimeridian support: the full band, a hair inside, if they cross."""
     cross = west > east
     return F.struct(F.when(cross, F.lit(-180 + 1e-5)).otherwise(west).alias("west"), south.alias("south"), F.when(cross, F.lit(180 - 1e-5)).otherwise(east).alias("east"), north.alias("north"))
+
+
+def clipped(a: Column, b: Column) -> Column:
+    """What two boxes have in common; null where they only touch or lie apart."""
+    w, s, e, n = F.greatest(a["west"], b["west"]), F.greatest(a["south"], b["south"]), F.least(a["east"], b["east"]), F.least(a["north"], b["north"])
+    return F.when((w < e) & (s < n), F.struct(w.alias("west"), s.alias("south"), e.alias("east"), n.alias("north")))

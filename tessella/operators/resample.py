@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.workers import arrow_map, ship
@@ -23,6 +23,11 @@ def kernel_of(name: str) -> str:
     return KERNELS[name]
 
 
+def kernels(spark: SparkSession) -> DataFrame:
+    """``name, kernel``: what resamplings may be called, and the kernel that each uses."""
+    return spark.createDataFrame(list(KERNELS.items()), "name string, kernel string")
+
+
 def heal(pixels: DataFrame, frames: DataFrame, colours: tuple[str, ...] = ("r", "g", "b")) -> DataFrame:
     """Paint each sheet's frame with the nearest clean pixel.
 

@@ -97,3 +97,33 @@ def first_blocks(blocks: DataFrame, n: int, sheet: str = "ord") -> DataFrame:
     """The first ``n`` blocks of each sheet, row by row, for a trial."""
     order = Window.partitionBy(sheet).orderBy("by", "bx")
     return blocks.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")
+
+
+def source_windows(plan: DataFrame, scheme: Scheme, to_source, steps: int = 4) -> DataFrame:
+    """``plan`` with ``col_min, col_max, row_min, row_max``: the source pixels that each tile comes from.
+
+    ``to_source(x, y)`` takes the scheme's units to source pixels; it is followed at ``steps`` by ``steps``
+    places and the tile's outer edges.
+    """
+    columns, rows = scheme.columns(F.col("z")), scheme.rows(F.col("z"))
+    across, down = F.lit(scheme.east - scheme.west) / columns, F.lit(scheme.north - scheme.south) / rows
+    at = F.sequence(F.lit(0), F.lit(steps))
+
+    def place(i: Column, j: Column) -> Column:
+        x = scheme.west + (F.col("x") + F.col("wrap") * columns + i / F.lit(steps)) * across
+        y = scheme.north - (F.col("y") + j / F.lit(steps)) * down
+        c, r = to_source(x, y)
+        return F.struct(c.alias("c"), r.alias("r"))
+
+    points = F.flatten(F.transform(at, lambda i: F.transform(at, lambda j: place(i, j))))
+    ends = lambda f, name: f(F.transform("_p", lambda p: p[name]))
+    met = plan.withColumn("_p", points)
+    return met.select(*plan.columns, ends(F.array_min, "c").alias("col_min"), ends(F.array_max, "c").alias("col_max"), ends(F.array_min, "r").alias("row_min"), ends(F.array_max, "r").alias("row_max"))
+
+
+def chunk_windows(windows: DataFrame, by: list[str], factor: Column, margin: int = 12) -> DataFrame:
+    """Per chunk of tiles one window that holds all of theirs, with a margin, on whole boxes of ``factor`` pixels."""
+    found = windows.groupBy(*by).agg(F.min("col_min").alias("a"), F.max("col_max").alias("b"), F.min("row_min").alias("c"), F.max("row_max").alias("d"), F.max(factor).alias("f"))
+    low = lambda v: (F.floor((F.col(v) - margin * F.col("f")) / F.col("f")) * F.col("f")).cast("long")
+    high = lambda v: (F.ceil((F.col(v) + margin * F.col("f")) / F.col("f")) * F.col("f")).cast("long")
+    return found.select(*by, low("a").alias("col_min"), high("b").alias("col_max"), low("c").alias("row_min"), high("d").alias("row_max"), F.col("f").cast("long").alias("factor"))

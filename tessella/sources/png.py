@@ -11,7 +11,7 @@ from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.workers import arrow_map
@@ -153,9 +153,14 @@ def read_tiles(tiles: DataFrame) -> DataFrame:
     return arrow_map(tiles.select("z", "x", "y", "path"), read, "z int, x long, y long, rgba binary")
 
 
+def tile_of_path(path: Column, suffix: str = "png") -> Column:
+    """``z, x, y`` of a file in a tile tree; null for a name that isn't all numbers."""
+    pattern = rf"/(\d+)/(\d+)/(\d+)\.{suffix}$"
+    part = lambda i, kind: F.regexp_extract(path, pattern, i).cast(kind)
+    return F.when(path.rlike(pattern), F.struct(part(1, "int").alias("z"), part(2, "long").alias("x"), part(3, "long").alias("y")))
+
+
 def scan_tree(spark: SparkSession, folder: str, suffix: str = "png") -> DataFrame:
     """``z, x, y, nbytes, mtime, path`` of a tile tree; other names are left out, contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{suffix}").load(folder).select("path", F.col("modificationTime").alias("mtime"), F.col("length").alias("nbytes"))
-    pattern = rf"/(\d+)/(\d+)/(\d+)\.{suffix}$"
-    part = lambda i, kind: F.regexp_extract("path", pattern, i).cast(kind)
-    return files.where(F.col("path").rlike(pattern)).select(part(1, "int").alias("z"), part(2, "long").alias("x"), part(3, "long").alias("y"), "nbytes", "mtime", "path")
+    return files.withColumn("t", tile_of_path(F.col("path"), suffix)).where("t is not null").select("t.*", "nbytes", "mtime", "path")

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessella.functions.workers import arrow_map
 
@@ -349,6 +350,18 @@ def copy_georeference(reference: str, image: str, output: str, *, overwrite: boo
     return output
 
 
+def transfers(references: DataFrame, images: DataFrame, strict_size: bool = True) -> DataFrame:
+    """``name, verdict`` of each image and the reference of its name, from tables of :func:`headers`.
+
+    ``verdict`` is ok, no reference, no georeference, or sizes differ.
+    """
+    r = references.select("name", F.col("width").alias("_w"), F.col("height").alias("_h"), "georeferenced", F.lit(True).alias("_there"))
+    met = images.select("name", "width", "height").join(r, "name", "left")
+    differ = (F.col("width") != F.col("_w")) | (F.col("height") != F.col("_h"))
+    verdict = F.when(F.col("_there").isNull(), "no reference").when(~F.col("georeferenced"), "no georeference").when(F.lit(strict_size) & differ, "sizes differ").otherwise("ok")
+    return met.select("name", verdict.alias("verdict"))
+
+
 def headers(spark: SparkSession, path: str) -> DataFrame:
     """``path, width, height, bands, gt, epsg, georeferenced`` of TIFF files."""
 

@@ -46,6 +46,11 @@ def assemble(layers: DataFrame) -> DataFrame:
     return layers.groupBy("z", "x", "y").applyInPandasWithState(_arrived, TILE, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+def incomplete(expected: DataFrame, done: DataFrame) -> DataFrame:
+    """Tiles (z, x, y) that were expected and aren't done."""
+    return expected.select("z", "x", "y").join(done.select("z", "x", "y"), ["z", "x", "y"], "left_anti")
+
+
 def assembled(spark: SparkSession, layers: DataFrame, batches: int = 3) -> DataFrame:
     """Run a table of layers ``z, x, y, ord, a, c`` through the stream in several batches.
 
@@ -59,7 +64,6 @@ def assembled(spark: SparkSession, layers: DataFrame, batches: int = 3) -> DataF
     running = assemble(stream).writeStream.format("parquet").option("path", sink).option("checkpointLocation", log).trigger(availableNow=True).start()
     running.awaitTermination()
     done = spark.read.schema(TILE).parquet(sink)
-    wanting = counts.join(done.select("z", "x", "y"), ["z", "x", "y"], "left_anti").limit(1).count()
-    if wanting:
+    if incomplete(counts, done).take(1):
         raise RuntimeError("some tiles never got all their layers")
     return done

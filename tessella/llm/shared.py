@@ -59,7 +59,8 @@ def wrapped(df: DataFrame, **more: Column) -> DataFrame:
 
     Whatever names ``df`` has, none clashes with an operator's own; ``select("row.*")`` restores them.
     """
-    return df.select(F.struct(*(df[f"`{c}`"] for c in df.columns)).alias("row"), *(v.alias(k) for k, v in more.items()))
+    quoted = ("`" + c.replace("`", "``") + "`" for c in df.columns)
+    return df.select(F.struct(*(df[c] for c in quoted)).alias("row"), *(v.alias(k) for k, v in more.items()))
 
 
 #: A key with more than this share of the rows is hot; so there are few hot keys.

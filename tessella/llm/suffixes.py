@@ -50,6 +50,8 @@ MOST_TEXTS = 1_000_000
 MOST_HELD, MOST_PAIRED = 8192, 16
 #: Text bytes that are hashed at once.
 CHUNK = 1 << 20
+#: Order of contexts.
+ORDER = ["key", "ahead", "behind", "text_id"]
 _ODD = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -218,20 +220,31 @@ def _written(words: list[bytes]) -> bytes:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each kept suffix: the words to its right, and those to its left read backwards."""
+    """Of the kept suffixes of each text: the words to the right, those to the left read backwards, and the places.
+
+    Places of a text with equal contexts are one row, as far as some thousand contexts are held.
+    """
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.int32())]
+    held: dict[tuple, list[int]] = {}
+
+    def made() -> pa.RecordBatch:
+        columns = list(zip(*((k, a, b, t, p) for (k, a, b, t), p in held.items()), strict=True)) or [()] * len(types)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [*ORDER, "places"])
+
     for batch in batches:
-        rows = []
-        for text, text_id, kept in zip(*(batch.column(n).to_pylist() for n in ("text", "text_id", "kept")), strict=True):
-            words = text.encode().split()
-            for x in kept:
-                p = x["place"]
-                if min(p, SPREAD) + min(len(words) - p, MIN_WORDS) < MIN_WORDS:
-                    continue  # no passage is long enough here
-                rows.append((x["key"], _written(words[p : p + MIN_WORDS]), _written(words[max(0, p - SPREAD) : p][::-1]), text_id, p))
-        for low in range(0, len(rows), 5000):
-            columns = zip(*rows[low : low + 5000], strict=True)
-            types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["key", "ahead", "behind", "text_id", "place"])
+        lists, ids = batch.column("kept"), batch.column("text_id").to_pylist()
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        places, keys = (lists.flatten().field(n).to_numpy() for n in ("place", "key"))
+        for i, text_id in enumerate(ids):
+            words = batch.column("text")[i].as_py().encode().split()
+            for p, key in zip(places[ends[i] : ends[i + 1]].tolist(), keys[ends[i] : ends[i + 1]].tolist(), strict=True):
+                if min(p, SPREAD) + min(len(words) - p, MIN_WORDS) >= MIN_WORDS:  # else no passage is long enough here
+                    context = key, _written(words[p : p + MIN_WORDS]), _written(words[max(0, p - SPREAD) : p][::-1]), text_id
+                    held.setdefault(context, []).append(p)
+                if len(held) >= 4000:
+                    yield made()
+    yield made()
 
 
 def _common(a: list[bytes], b: list[bytes]) -> int:
@@ -306,7 +319,6 @@ def _settle(nodes: list[_Node], most_paired: int) -> None:
 
 
 COMPARED = "text_id long, start int, end int, key long, ahead binary, behind binary, places array<int>"
-ORDER = ["key", "ahead", "behind", "text_id"]
 
 
 def _settled(whole: bool, most_held: int, most_paired: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -439,10 +451,9 @@ def passages(docs: DataFrame) -> DataFrame:
     wanted = kept.select(F.col("text_id").alias("__wanted"))
     some = rows.join(F.broadcast(wanted), F.col("text_id") == F.col("__wanted"), "left_semi") if kept.count() <= MOST_TEXTS else rows
     with_text = some.join(one, (F.col("text_id") == F.col("__id")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "text_id", "kept")
-    contexts = cut(arrow_map(with_text, _contexts, "key long, ahead binary, behind binary, text_id long, place int"), "contexts", "zstd")
+    contexts = cut(arrow_map(with_text, _contexts, "key long, ahead binary, behind binary, text_id long, places array<int>"), "contexts", "zstd")
 
-    columns = [*ORDER, F.array("place").alias("places")]
-    within = arrow_map(contexts.repartitionByRange(*ORDER, "place").sortWithinPartitions(*ORDER, "place").select(*columns), _settled(False, MOST_HELD, MOST_PAIRED), COMPARED)
+    within = arrow_map(contexts.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER), _settled(False, MOST_HELD, MOST_PAIRED), COMPARED)
     within = cut(within, "compared", "zstd")
     nodes = within.where("key is not null").select(*ORDER, "places")
     large = cut(nodes.groupBy("key").count().where(F.col("count") > MOST_HELD).select("key"), "large-keys")

@@ -11,24 +11,25 @@ from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
 TYPES = {".json": "application/json", ".webp": "image/webp", ".png": "image/png", ".js": "text/javascript", ".html": "text/html; charset=utf-8"}
 
 
+def _named(document: str) -> str | None:
+    """The name that a tileset's document gives, "" if it gives none; None if it can't be read."""
+    with open(document, encoding="utf-8") as f:
+        text = f.read()
+    try:
+        return json.loads(text).get("name") or ""
+    except (ValueError, AttributeError):
+        return None
+
+
 def listed(root: str) -> list[dict]:
     """``path, name, valid`` of the tilesets in ``root`` and right below it, the root's first.
 
     One whose document can't be read is listed too, by its folder's name, and marked.
     """
-    found = []
-    below = sorted(e.name for e in os.scandir(root) if e.is_dir())
-    for path in ["", *below]:
-        where = os.path.join(root, path, "metadata.json")
-        if not os.path.isfile(where):
-            continue
-        try:
-            with open(where, encoding="utf-8") as f:
-                name = json.load(f).get("name")
-            found.append({"path": path, "name": name or path or "tileset", "valid": True})
-        except (ValueError, AttributeError):
-            found.append({"path": path, "name": path or "tileset", "valid": False})
-    return found
+    places = {"": root} | {e.name: e.path for e in sorted(os.scandir(root), key=lambda e: e.name) if e.is_dir()}
+    documents = {path: os.path.join(where, "metadata.json") for path, where in places.items()}
+    names = {path: _named(d) for path, d in documents.items() if os.path.isfile(d)}
+    return [{"path": path, "name": name or path or "tileset", "valid": name is not None} for path, name in names.items()]
 
 
 class TileHandler(SimpleHTTPRequestHandler):

@@ -11,10 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _shipped: set[str] = set()
+#: Rows of an Arrow batch, and the session's setting for it with its default.
+BATCH_ROWS, BATCH_SETTING, BATCH_DEFAULT = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package's code to the workers, once for each application."""
+    """Send the package's code to the workers, once for each application.
+
+    Rows hold whole texts, tiles or files here, so batches are made smaller, unless the session asks
+    for another size than the default.
+    """
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -111,3 +111,10 @@ def test_mercator_tile_matches_arithmetic(spark):
     n = 1 << 10
     y = (1 - math.log(math.tan(math.radians(52.5)) + 1 / math.cos(math.radians(52.5))) / math.pi) / 2
     assert (row.x, row.y) == (int((13.4 + 180) / 360 * n), int(y * n))
+
+
+def test_mercator_x_on_a_tile_edge_is_the_statements(spark):
+    """Where multiplying by a ready-made quotient comes out on the other side of the edge."""
+    edges = [(135.0, 5), (112.5, 6), (-135.0, 4), (135.0, 8), (112.5, 9)]
+    row = one(spark, x=F.array(*(MERCATOR.tile_of(F.lit(z), geo.lon_to_x(F.lit(lon)), F.lit(0.0))["x"] for lon, z in edges)))
+    assert row.x == [27, 51, 2, 223, 415]

@@ -11,9 +11,19 @@ from tessella.registry import query
 col, lit = F.col, F.lit
 
 
+#: Pixels that one task makes of the sheets dealt to it.
+TASK_CELLS = 4_000_000
+
+
 def _cells(spark, sf_dir, columns: int, rows: int):
-    """One row a pixel of each supplier's sheet: ``sheet, col, row``."""
+    """One row a pixel of each supplier's sheet: ``sheet, col, row``.
+
+    The table's one small file would be one task's, so sheets are dealt out by their key before
+    their pixels are made; what is grouped by sheet later finds them in place.
+    """
     s = views.table(spark, sf_dir, "supplier").select(col("s_suppkey").alias("sheet"))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-s.count() * columns * rows // TASK_CELLS))
+    s = s.repartition(tasks, "sheet")
     return s.withColumn("row", F.explode(F.sequence(lit(0), lit(rows - 1)))).withColumn("col", F.explode(F.sequence(lit(0), lit(columns - 1))))
 
 

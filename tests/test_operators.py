@@ -211,3 +211,27 @@ def test_reprojected_bounds_bulge(spark):
     row = geo.reproject_bounds(df, "k", lcc.forward).first()
     corner = spark.range(1).select(lcc.forward(F.lit(-100.0), F.lit(45.0))[1].alias("y"), lcc.forward(F.lit(-95.0), F.lit(35.0))[1].alias("s")).first()
     assert row.north == pytest.approx(corner.y) and row.south == pytest.approx(corner.s)
+
+
+def planned(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_registration_gathers_no_ink(spark):
+    """Exploded rows pass for as few as their sheets, so that ink and profiles were broadcast."""
+    sizes = spark.range(3).select(F.col("id").alias("sheet"), F.lit(60).alias("page_width"), F.lit(60).alias("page_height"), F.lit(40).alias("width"), F.lit(40).alias("height"))
+    page = sizes.select("sheet", F.explode(F.sequence(F.lit(0), F.lit(59))).alias("x")).withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(59)))).where((F.col("x") * F.col("x") * 7 + F.col("y") * 13 + F.col("x") * F.col("y")) % 11 < 3)
+    sheet = page.select("sheet", (F.col("x") - 8).alias("x"), (F.col("y") - 6).alias("y")).where("x between 0 and 39 and y between 0 and 39")
+    small = lambda ink: ink.where("x % 2 = 0 and y % 2 = 0").select("sheet", F.floor(F.col("x") / 2).alias("x"), F.floor(F.col("y") / 2).alias("y"))
+    found = register.registered(page, sheet, small(page), small(sheet), sizes, 2, 12, 3, 20)
+    assert planned(found).count("ShuffledHashJoin") == 2, "ink meets the few boxes"
+    assert {(r.x, r.y, r.match) for r in found.collect()} == {(8, 6, 1.0)}
+    lines = lambda n: sizes.select("sheet", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("i")).withColumn("total", F.col("i") % 7)
+    assert planned(register.best_shift(lines(60), lines(40), ["sheet"])).count("SortMergeJoin") >= 2
+
+
+def test_probes_without_ink_of_their_own_give_no_row(spark):
+    ink = [("s", 0, True, 1, 1), ("s", 1, False, 2, 2), ("s", 1, True, 4, 4), ("s", 2, False, 0, 0), ("s", 2, False, 1, 0), ("s", 2, True, 2, 2), ("s", 2, True, 3, 2)]
+    df = spark.createDataFrame(ink, "sheet string, probe int, page boolean, x int, y int")
+    assert [(r.probe, r.dx, r.dy) for r in register.probe_offsets(df, 8, 2, 2).collect()] == [(2, 0, 0)]
+    assert {r.probe for r in register.probe_offsets(df, 8, 2, 0).collect()} == {1, 2}

@@ -207,9 +207,10 @@ def neat_sql() -> str:
 def neatline(spark, sf_dir):
     s, x, y = col("sheet"), col("col"), col("row")
     margin = (x < 5 + s % 4) | (y < 4) | (x >= 55) | (y >= 46)
-    kind = F.when(margin, "paper").when((x < 9 + s % 3) & (y >= 20 + s % 9), "paper").when((y < 8) & (x % 30 >= 2 + s % 5), "ink").when((y >= 44 - s % 6) & (x >= 30), "ink").when((x * 5 + y * 3 + s) % 7 == 0, "paper").otherwise("map")
-    v = lambda ink, paper, other: F.when(kind == "ink", ink).when(kind == "paper", paper).otherwise(other)
-    cells = _cells(spark, sf_dir, NEAT_WIDTH, NEAT_HEIGHT).select("sheet", "col", "row", v(20, 255, 90).alias("r"), v(20, 255, 140).alias("g"), v(20, 255, 200).alias("b"))
+    ink, paper, other = (F.struct(*(lit(v).alias(c) for c, v in zip("rgb", rgb, strict=True))) for rgb in ((20, 20, 20), (255, 255, 255), (90, 140, 200)))
+    colour = F.when(margin, paper).when((x < 9 + s % 3) & (y >= 20 + s % 9), paper).when((y < 8) & (x % 30 >= 2 + s % 5), ink).when((y >= 44 - s % 6) & (x >= 30), ink).when((x * 5 + y * 3 + s) % 7 == 0, paper).otherwise(other)
+    # The explode keeps the colour from being worked out anew wherever a band of it is looked at.
+    cells = _cells(spark, sf_dir, NEAT_WIDTH, NEAT_HEIGHT).select("sheet", "col", "row", F.explode(F.array(colour)).alias("c")).select("sheet", "col", "row", "c.*")
     return detect.neatlines(cells, NEAT_RUN, NEAT_STEP, NEAT_ROUNDS)
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessella import catalog_sheets
 from tessella.functions import geo
 from tessella.functions.grid import GEOGRAPHIC
 from tessella.operators import bounds, composite, detect, overview, register, resample
@@ -235,3 +236,22 @@ def test_probes_without_ink_of_their_own_give_no_row(spark):
     df = spark.createDataFrame(ink, "sheet string, probe int, page boolean, x int, y int")
     assert [(r.probe, r.dx, r.dy) for r in register.probe_offsets(df, 8, 2, 2).collect()] == [(2, 0, 0)]
     assert {r.probe for r in register.probe_offsets(df, 8, 2, 0).collect()} == {1, 2}
+
+
+def test_neatline_works_out_a_colour_once(spark, tmp_path):
+    """Six conditions a pixel, repeated in every band of every filter, took most of the time."""
+    spark.createDataFrame([(k,) for k in range(3)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = catalog_sheets.neatline(spark, str(tmp_path))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count(" % 30)") == 2, "once for each axis' runs"
+    assert found.count() == 3
+
+
+def test_neatlines_of_many_sheets_gather_no_pixels(spark, monkeypatch):
+    image = np.full((60, 70, 3), 255, np.uint8)
+    image[10:50, 12:60] = np.random.default_rng(3).integers(0, 255, (40, 48, 3))
+    image[10:14, 12:60] = 20
+    monkeypatch.setattr(detect, "MOST_SHEETS", 0)
+    found = detect.neatlines(sheet(spark, image), 10, 2)
+    assert planned(found).count("ShuffledHashJoin") == 2
+    row = found.first()
+    assert (row.left, row.top, row.right, row.bottom, row.settled) == (12, 14, 60, 50, True)
